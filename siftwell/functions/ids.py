@@ -7,30 +7,41 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_HEX32 = r"^[0-9a-f]{32}$"
-_DIGITS = r"^[0-9]{1,39}$"
+#: One pattern for the hyphenated, bare, braced and URN spellings, in lower case.
+_SPELLED = r"^(?:urn:uuid:)?\{?([0-9a-f]{8})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{12})\}?$"
+#: Decimal numbers; 32 digits are a bare hexadecimal spelling.
+_DECIMAL = r"^(?:[0-9]{1,31}|[0-9]{33,39})$"
+_WORD = "cast('18446744073709551616' as decimal(20,0))"
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once, whatever the number of its uses."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _hyphenate(hex32: Column) -> Column:
-    return F.concat_ws(
-        "-", hex32.substr(1, 8), hex32.substr(9, 4), hex32.substr(13, 4), hex32.substr(17, 4), hex32.substr(21, 12)
-    )
+    return F.regexp_replace(hex32, _SPELLED, "$1-$2-$3-$4-$5")
 
 
 def _decimal_to_hex32(digits: Column) -> Column:
     """128-bit hexadecimal of a decimal string, by 10**20 = 5 * 2**64 + rest in decimal arithmetic."""
-    padded = F.lpad(digits, 39, "0")
-    high = padded.substr(1, 19).cast("decimal(19,0)")
-    low = padded.substr(20, 20).cast("decimal(20,0)")
     rest = F.lit(10**20 - 5 * 2**64).cast("decimal(19,0)")
-    word = F.expr("cast('18446744073709551616' as decimal(20,0))")
-    mixed = (high * rest + low).cast("decimal(38,0)")
-    lower = (mixed % word).cast("decimal(20,0)")
-    carry = ((mixed - lower) / word).cast("decimal(20,0)")
-    upper = (high * F.lit(5) + carry).cast("decimal(21,0)")
     part = lambda c: F.lpad(F.lower(F.conv(c.cast("string"), 10, 16)), 16, "0")
-    fits = upper < F.expr("cast('18446744073709551616' as decimal(20,0))")
-    return F.when(fits, F.concat(part(upper), part(lower)))
+
+    def words(n: Column) -> Column:
+        upper = (n["high"] * F.lit(5) + ((n["mixed"] - n["lower"]) / F.expr(_WORD)).cast("decimal(20,0)")).cast("decimal(21,0)")
+        return F.when(upper < F.expr(_WORD), F.concat(part(upper), part(n["lower"])))
+
+    def split(n: Column) -> Column:
+        mixed = (n["high"] * rest + n["low"]).cast("decimal(38,0)")
+        lower = (mixed % F.expr(_WORD)).cast("decimal(20,0)")
+        return F.struct(n["high"].alias("high"), mixed.alias("mixed"), lower.alias("lower"))
+
+    padded = F.lpad(digits, 39, "0")
+    halves = F.struct(
+        padded.substr(1, 19).cast("decimal(19,0)").alias("high"), padded.substr(20, 20).cast("decimal(20,0)").alias("low")
+    )
+    return _let(_let(halves, split), words)
 
 
 def canonical_uuid(col: Column | str) -> Column:
@@ -40,15 +51,8 @@ def canonical_uuid(col: Column | str) -> Column:
     value. Anything else comes back trimmed and in lower case, NULL and '' as NULL.
     """
     col = F.col(col) if isinstance(col, str) else col
-    text = F.lower(F.trim(col))
-    bare = F.regexp_replace(F.regexp_replace(text, r"^urn:uuid:", ""), r"[{}\-]", "")
-    plain = text.rlike(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
-    return (
-        F.when(plain, text)
-        .when(bare.rlike(_HEX32), _hyphenate(bare))
-        .when(text.rlike(_DIGITS), F.coalesce(_hyphenate(_decimal_to_hex32(text)), text))
-        .when(text != "", text)
-    )
+    text = F.nullif(F.lower(F.trim(col)), F.lit(""))
+    return F.when(text.rlike(_DECIMAL), F.coalesce(_hyphenate(_decimal_to_hex32(text)), text)).otherwise(_hyphenate(text))
 
 
 def numeric_id_to_uuid(col: Column) -> Column:
