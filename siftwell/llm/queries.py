@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.ids import canonical_uuid
 from siftwell.functions.paths import file_stem
-from siftwell.llm import cooccurrence, matches, survivors
+from siftwell.llm import cooccurrence, languages, leakage, matches, packing, survivors
 from siftwell.plans.sql import tag_sql, uuid_sql
 from siftwell.runtime import Workspace, read_table
 
@@ -18,7 +18,7 @@ MATCH_DISTANCE = 0.625
 def _point_numbers(points: DataFrame, work: Workspace) -> DataFrame:
     """(id, n): numbers of all points in the order of their ids."""
     ids = points.select(canonical_uuid("id").alias("id")).where("id is not null").distinct()
-    return work.save(work.save(ids.orderBy("id")).withColumn("n", F.monotonically_increasing_id()))
+    return work.save(ids.orderBy("id").withColumn("n", F.monotonically_increasing_id()))
 
 
 def matched_points(results: DataFrame, numbers: DataFrame) -> DataFrame:
@@ -70,6 +70,41 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return _survivors(spark, d, use_times=True)
 
 
+def p8_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, d, "documents"), read_table(spark, d, "pack_specs"))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, least possible containers and unused share per capacity."""
+    return packing.fill_report(p8_packing(spark, d))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_passages(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p9_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Longest run of words of each leaked item and its place in the original text."""
+    return leakage.leaked_items(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    documents = read_table(spark, d, "documents")
+    return languages.mislabelled(languages.document_languages(documents, languages.fit_on_documents(documents)))
+
+
+def p10_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Languages in each text with a confidence, next to those its label names."""
+    documents = read_table(spark, d, "documents")
+    return languages.document_languages(documents, languages.fit_on_documents(documents))
+
+
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every segment with its place, language and confidence."""
+    documents = read_table(spark, d, "documents")
+    return languages.language_segments(documents, languages.fit_on_documents(documents))
+
+
 _POINT_IDS = f"ids AS (SELECT DISTINCT {uuid_sql('id')} AS id FROM point_metadata WHERE id IS NOT NULL)"
 _P5 = f"""
 WITH RECURSIVE {_POINT_IDS},
@@ -118,6 +153,13 @@ QUERIES = {
     "p6_pair_counts": p6_pair_counts,
     "p7_method": p7_method,
     "p7_found": p7_found,
+    "p8_packing": p8_packing,
+    "p8_fill": p8_fill,
+    "p9_found": p9_found,
+    "p9_passages": p9_passages,
+    "p10_found": p10_found,
+    "p10_documents": p10_documents,
+    "p10_segments": p10_segments,
 }
 ORACLES = {
     "p5_found": _P5,
