@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.ids import canonical_uuid
 from siftwell.functions.paths import file_stem
-from siftwell.llm import cooccurrence, history, languages, leakage, matches, packing, survivors
+from siftwell.llm import cooccurrence, history, languages, leakage, matches, neighbours, packing, survivors
 from siftwell.plans.sql import tag_sql, uuid_sql
 from siftwell.runtime import Workspace, read_table
 
@@ -30,6 +30,10 @@ def matched_points(results: DataFrame, numbers: DataFrame) -> DataFrame:
     return named.distinct().join(as_a, "q").join(as_b, "r").select("a", "b")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours.point_neighbours(read_table(spark, d, "point_metadata"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return history.repeats_of_tables(read_table(spark, d, "point_metadata"), read_table(spark, d, "wrong_ext"))
 
@@ -151,6 +155,7 @@ FROM m LEFT JOIN tags USING (cluster_id) GROUP BY m.cluster_id
 """
 
 QUERIES = {
+    "p2_found": p2_found,
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_sizes": p5_sizes,
