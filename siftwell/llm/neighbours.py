@@ -248,8 +248,7 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
 
     cells = curves * ranges
     spread = placed.repartition(max(cells, 1), "cell") if cells > 1 else placed
-    lists = work.save(spread.groupBy("cell").applyInPandas(best, "rid bigint, other array<bigint>, away array<double>"))
-    work.drop(keyed)
+    lists = spread.groupBy("cell").applyInPandas(best, "rid bigint, other array<bigint>, away array<double>")
     merged = lists.groupBy("rid").agg(F.flatten(F.collect_list(F.arrays_zip("away", "other"))).alias("near"))
     return merged.select("rid", F.slice(F.array_sort(F.array_distinct("near")), 1, k).alias("near"))
 
