@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.vectors import point_vectors
+from siftwell.llm.vectors import hashed_sample, point_vectors
 from siftwell.runtime import Workspace
 
 _LEVELS = 127 * 258  # steps of the 16-bit coordinates that travel through the shuffle
@@ -174,7 +174,7 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
     """(rid, near): per vector of ``vectors`` (rid, vec) its k best as (minus cosine, rid), best first."""
     spark = vectors.sparkSession
     n = vectors.count()
-    sample = vectors.orderBy(F.xxhash64("rid"), "rid").limit(sample_size).select("vec").toPandas()["vec"]
+    sample = hashed_sample(vectors, "rid", sample_size, n).select("vec").toPandas()["vec"]
     schema = "rid bigint, near array<struct<away:double,other:bigint>>"
     if n < 2:
         return spark.createDataFrame([], schema)
