@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.vectors import hashed_sample
+
 LANGUAGES = ("en", "de", "nl", "sv", "fr", "es", "pt", "it", "ru", "ja")
 
 #: Other names of the languages (fixed values: ISO 639 codes and English names).
@@ -34,7 +36,7 @@ NAMES = {
     "jpn": "ja", "japanese": "ja",
 }
 
-_ORDERS = (1, 2, 3, 4)
+_ORDERS = (2, 3)
 _BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
 _NOT_PROSE = re.compile(r"^\s*(?:[\[(]?\d{1,2}:\d{2}(?::\d{2})?\b|\d{4}-\d{2}-\d{2}[T ]|\{.*\}\s*$|[#=]{1,6}(?:\s|\d)|@\w+:?\s*$|</?\w+[^>]*>\s*$)")
 _MARKS = re.compile(r"\([^()\s]*[\d_.][^()\s]*\)|\[[^\]\s]*\d[^\]\s]*\]|#\d+|https?://\S+|\S*[\w-]\.(?:jpe?g|png|gif|webp|bmp|txt|json)\b|<[^<>]{1,80}>|&#?\w{2,8};")
@@ -96,13 +98,13 @@ def sentences(text: str | None) -> list[Segment]:
     return out
 
 
-def _grams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed character n-grams of all texts and the index of the text each one belongs to."""
+def _grams(texts: list[str], buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per order: hashed character n-grams of all texts and the rising index of the text each belongs to."""
     joined = "\n".join(f" {t} " for t in texts)
     codes = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     owner = np.cumsum(codes == 10)
     gaps = np.concatenate([[0], np.cumsum(codes == 10)])
-    hashes, owners = [], []
+    found = []
     value = np.zeros(len(codes), np.uint64)
     with np.errstate(over="ignore"):
         for n in range(1, max(_ORDERS) + 1):
@@ -112,11 +114,10 @@ def _grams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
             value = value[:m] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :] + np.uint64(n)
             if n in _ORDERS:
                 inside = gaps[n:] == gaps[:m]
-                mixed = value ^ (value >> np.uint64(29))
-                mixed = (mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(40)
-                hashes.append((mixed % np.uint64(buckets))[inside].astype(np.int64))
-                owners.append(owner[:m][inside])
-    return np.concatenate(hashes), np.concatenate(owners)
+                mixed = value[inside]
+                mixed = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(40)
+                found.append(((mixed & np.uint64(buckets - 1)).astype(np.int64), owner[:m][inside]))
+    return found
 
 
 def _plain(text: str) -> str:
@@ -138,13 +139,13 @@ class CodeModel:
         step = 2000
         for i in range(0, len(texts), step):
             part = texts[i : i + step]
-            h, owner = _grams(part, len(self.ratios))
-            order = np.argsort(owner, kind="stable")
-            owner, rows = owner[order], self.ratios[h[order]]
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            sums = np.add.reduceat(rows, first, axis=0)
-            counts = np.diff(np.r_[first, len(owner)])
-            total[i + owner[first]] = sums / counts[:, None]
+            sums, counts = np.zeros((len(part), self.ratios.shape[1]), np.float32), np.zeros(len(part))
+            for h, owner in _grams(part, len(self.ratios)):  # owners rise within an order
+                first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, int)
+                if len(first):
+                    sums[owner[first]] += np.add.reduceat(self.ratios[h], first, axis=0)
+                    counts[owner[first]] += np.diff(np.r_[first, len(owner)])
+            total[i : i + len(part)] = sums / np.maximum(counts, 1)[:, None]
         return total
 
     def classify(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -171,8 +172,8 @@ def fit_codes(texts: list[str], labels: list[str], languages=LANGUAGES, buckets:
     chunks = []
     for i in range(0, len(texts), 1000):
         part = texts[i : i + 1000]
-        h, owner = _grams([*part, *(_plain(t) for t in part)], buckets)
-        chunks.append((h.astype(np.uint32), (owner % len(part) + i).astype(np.uint32)))
+        for h, owner in _grams([*part, *(_plain(t) for t in part)], buckets):
+            chunks.append((h.astype(np.uint32), (owner % len(part) + i).astype(np.uint32)))
     keep = np.ones(len(texts), bool)
     model = None
     for _ in range(rounds):
@@ -211,7 +212,7 @@ def fit_on_documents(documents: DataFrame, max_documents: int = 3000, max_senten
     single = documents.where("lang is not null and text <> '' and length(text) < 20000").where(
         ~F.col("lang").rlike(r"[+,;/]")
     )
-    sample = single.select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents).toPandas()
+    sample = hashed_sample(single.select("doc_id", "text", "lang"), "doc_id", max_documents, documents.count()).toPandas()
     texts, labels = [], []
     per_document = max(1, max_sentences // max(len(sample), 1))
     for text, lang in zip(sample["text"], sample["lang"]):
