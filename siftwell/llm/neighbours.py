@@ -196,11 +196,12 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
 
     window = math.ceil(window_factor * math.sqrt(n))
     ranges = max(1, round(n / (8 * window)))
-    share = (window + 64) / n
+    accuracy = max(1000, math.ceil(5 * math.sqrt(n)))  # ranks within a small part of the window
+    share = (window + n / accuracy + 64) / n
     cuts = np.arange(1, ranges) / ranges
     shares = np.clip(np.concatenate([cuts, cuts - share, cuts + share]), 0, 1).tolist()
     if ranges > 1:
-        quantile = [F.percentile_approx(c, shares, 200_000).alias(c) for c in names]
+        quantile = [F.percentile_approx(c, shares, accuracy).alias(c) for c in names]
         held = keyed.agg(*quantile).first()
         bounds = {c: np.array(held[c], np.int64).reshape(3, -1) for c in names}
     else:
@@ -247,7 +248,7 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
         return pd.DataFrame({"rid": q[first], "other": np.split(other, first[1:]) if len(q) else [], "away": np.split(-cosine, first[1:]) if len(q) else []})
 
     cells = curves * ranges
-    spread = placed.repartition(max(cells, 1), "cell") if cells > 1 else placed
+    spread = placed.repartition(4 * cells, "cell")  # few cells share a partition
     lists = spread.groupBy("cell").applyInPandas(best, "rid bigint, other array<bigint>, away array<double>")
     merged = lists.groupBy("rid").agg(F.flatten(F.collect_list(F.arrays_zip("away", "other"))).alias("near"))
     return merged.select("rid", F.slice(F.array_sort(F.array_distinct("near")), 1, k).alias("near"))
