@@ -39,7 +39,7 @@ NAMES = {
 _ORDERS = (2, 3)
 _BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
 _NOT_PROSE = re.compile(r"^\s*(?:[\[(]?\d{1,2}:\d{2}(?::\d{2})?\b|\d{4}-\d{2}-\d{2}[T ]|\{.*\}\s*$|[#=]{1,6}(?:\s|\d)|@\w+:?\s*$|</?\w+[^>]*>\s*$)")
-_MARKS = re.compile(r"\([^()\s]*[\d_.][^()\s]*\)|\[[^\]\s]*\d[^\]\s]*\]|#\d+|https?://\S+|\S*[\w-]\.(?:jpe?g|png|gif|webp|bmp|txt|json)\b|<[^<>]{1,80}>|&#?\w{2,8};")
+_MARKS = re.compile(r"\([^()\s]*[\d_.][^()\s]*\)|\[[^\]\s]*\d[^\]\s]*\]|#\d+|https?://\S+|(?<![^\s(\[\"'])[^\s(\[\"'.]+\.(?:jpe?g|png|gif|webp|bmp|txt|json)\b|<[^<>]{1,80}>|&#?\w{2,8};")
 _SENTENCE = re.compile(r"[^.!?。！？…]+(?:[.!?。！？…]+[\"'”»“«）)\]]*|$)")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
