@@ -36,6 +36,14 @@ NAMES = {
     "jpn": "ja", "japanese": "ja",
 }
 
+#: Latin spellings of letters, as in transliterated texts (fixed values).
+_LATIN = str.maketrans({
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "yo", "ж": "zh", "з": "z", "и": "i", "й": "y",
+    "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f",
+    "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": " ", "э": "e", "ю": "yu", "я": "ya",
+    "ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "å": "aa",
+})
+
 _ORDERS = (2, 3)
 _BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
 _NOT_PROSE = re.compile(r"^\s*(?:[\[(]?\d{1,2}:\d{2}(?::\d{2})?\b|\d{4}-\d{2}-\d{2}[T ]|\{.*\}\s*$|[#=]{1,6}(?:\s|\d)|@\w+:?\s*$|</?\w+[^>]*>\s*$)")
@@ -124,6 +132,10 @@ def _plain(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
+def _spelled(text: str) -> str:
+    return " ".join(text.translate(_LATIN).split())
+
+
 @dataclass
 class CodeModel:
     """Bit classifiers (log ratios per n-gram bucket), their weights, and the code."""
@@ -165,14 +177,15 @@ def fit_codes(texts: list[str], labels: list[str], languages=LANGUAGES, buckets:
     """Bit classifiers from labelled sentences; wrong labels are weeded out.
 
     Every round counts the n-grams per language, turns them into log ratios per bit, and for the next
-    round keeps the sentences whose language it confirms. Every sentence also counts without its accents.
+    round keeps the sentences whose language it confirms. Every sentence also counts without its accents and in
+    Latin spelling.
     """
     words = code_words(len(languages))
     target = np.array([languages.index(x) for x in labels], int)
     chunks = []
     for i in range(0, len(texts), 1000):
         part = texts[i : i + 1000]
-        for h, owner in _grams([*part, *(_plain(t) for t in part)], buckets):
+        for h, owner in _grams([*part, *map(_plain, part), *map(_spelled, part)], buckets):
             chunks.append((h.astype(np.uint32), (owner % len(part) + i).astype(np.uint32)))
     keep = np.ones(len(texts), bool)
     model = None
