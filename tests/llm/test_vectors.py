@@ -58,7 +58,7 @@ def test_recall(spark):
     centres = rng.normal(size=(40, 24))
     x = (centres[rng.integers(0, 40, 4000)] + 0.8 * rng.normal(size=(4000, 24))).astype(np.float32)
     ids = [f"p{i:05d}" for i in rng.permutation(4000)]
-    got, want = pairs(spark, x, ids, window_factor=3.0), brute(x.astype(float), ids)
+    got, want = pairs(spark, x, ids, window_factor=0.75), brute(x.astype(float), ids)
     assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.9 * len(got)
 
 
