@@ -121,6 +121,52 @@ def resolve_in_order(edges: DataFrame, work: Workspace) -> DataFrame:
     return left.select("later").limit(0) if cases is None else cases.distinct()
 
 
+def leader_pairs(prints: DataFrame, key: str) -> DataFrame:
+    """Distinct (earlier, later): every record with the first record of each pair of blocks it shares.
+
+    Two blocks side by side make a fine bucket. A group of near-copies of any size has a few fine buckets
+    with most of its members, and gives one pair per member and bucket here, not the square of its size.
+    """
+    mask = (1 << 2 * BLOCK_BITS) - 1
+    fine = [
+        F.shiftrightunsigned(F.col(w), 64 - 2 * BLOCK_BITS * (t + 1)).bitwiseAND(mask) + F.lit((i * 2 + t) << 2 * BLOCK_BITS)
+        for i, w in enumerate(_W)
+        for t in range(2)
+    ]
+    rows = prints.select(F.explode(F.array(*fine)).alias("fine"), F.col(key).alias("later"))
+    leaders = rows.groupBy("fine").agg(F.min("later").alias("earlier"))
+    return rows.join(leaders, "fine").where("earlier < later").select("earlier", "later").distinct()
+
+
+def cases_in_order(prints: DataFrame, key: str, least: float, work: Workspace) -> DataFrame:
+    """(later): the cases among ``prints`` (key, vec, w0..), whose order of arrival is that of the key.
+
+    Leaders come first: what matches the first record of a fine bucket is likely a case, and drops out
+    before blocks are compared. The accepted records are then compared among themselves in all block
+    tables; any match adds an edge and the order is resolved again, until the accepted ones match each
+    other nowhere. As every case has an accepted earlier match and no two accepted records match, the
+    result is that of taking one record after the other.
+    """
+    limit = hamming_limit(least)
+    edges = work.save(verified(leader_pairs(prints, key), prints, prints, key, least))
+    cases = work.save(resolve_in_order(edges, work))
+    seen = fresh = work.save(prints.join(cases.withColumnRenamed("later", key), key, "left_anti"))
+    first = True
+    while True:
+        new, held = block_rows(fresh, key), block_rows(seen, key)
+        pairs = block_matches(new, new, key, limit) if first else block_matches(held, new, key, limit).unionByName(block_matches(new, held, key, limit)).distinct()
+        more = work.save(verified(pairs, prints, prints, key, least))
+        if more.isEmpty():
+            return cases
+        edges, first = edges.unionByName(more), False
+        cases = work.save(resolve_in_order(edges, work))
+        accepted = prints.join(cases.withColumnRenamed("later", key), key, "left_anti")
+        fresh = work.save(accepted.join(seen.select(key), key, "left_anti"))
+        if fresh.isEmpty():
+            return cases
+        seen = seen.unionByName(fresh)
+
+
 def vector_repeats(vectors: DataFrame, order: str = "arrived", least: float = 0.9) -> DataFrame:
     """(order) of the records of ``vectors`` (order, vec) that repeat an earlier accepted one.
 
@@ -130,10 +176,7 @@ def vector_repeats(vectors: DataFrame, order: str = "arrived", least: float = 0.
     work = Workspace(vectors.sparkSession, "history")
     held = work.save(vectors.select(order, "vec"))
     first = work.save(fingerprints(first_of_copies(held, order)))
-    blocks = block_rows(first, order)
-    pairs = work.save(block_matches(blocks, blocks, order, hamming_limit(least)))
-    edges = verified(pairs, first, first, order, least)
-    near = resolve_in_order(edges, work).withColumnRenamed("later", order)
+    near = cases_in_order(first, order, least, work).withColumnRenamed("later", order)
     copies = held.select(order).join(first.select(order), order, "left_anti")
     return copies.unionByName(near)
 
@@ -176,9 +219,7 @@ class FingerprintHistory:
             known = work.save(hits.select(F.col("later").alias(key)).distinct())
             fresh = work.save(prints.join(known, key, "left_anti"))
         first = work.save(fresh.join(first_of_copies(fresh, key).select(key), key, "left_semi"))
-        blocks = block_rows(first, key)
-        inner = verified(block_matches(blocks, blocks, key, limit), first, first, key, self.least)
-        near = work.save(resolve_in_order(inner, work).withColumnRenamed("later", key))
+        near = work.save(cases_in_order(first, key, self.least, work).withColumnRenamed("later", key))
         accepted = work.save(first.join(near, key, "left_anti"))
         accepted.select(key, "vec").write.mode("append").parquet(f"{self.path}/vectors")
         block_rows(accepted, key).write.mode("append").parquet(f"{self.path}/blocks")

@@ -27,10 +27,10 @@ def first_of_copies(vectors: DataFrame, order: str) -> DataFrame:
 def hashed_sample(rows: DataFrame, key: str, size: int, total: int) -> DataFrame:
     """At most ``size`` of about ``total`` rows, the first by a hash of the key.
 
-    Rows far beyond the sample are filtered in the scan, so the tasks together send a few times ``size``
+    Rows far beyond the sample are filtered in the scan, so the tasks together send about twice ``size``
     rows to the driver, not ``size`` rows each.
     """
-    share = min(1.0, 4 * size / max(total, 1))
+    share = min(1.0, 2 * size / max(total, 1))
     ranked = rows.withColumn("_rank", F.pmod(F.xxhash64(key), F.lit(1 << 40)))
     kept = ranked.where(F.col("_rank") < int(share * (1 << 40))) if share < 1 else ranked
     return kept.orderBy("_rank", key).limit(size).drop("_rank")

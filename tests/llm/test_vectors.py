@@ -174,3 +174,14 @@ def test_hamming_limit_keeps_near_pairs(spark):
     prints = history.fingerprints(frame(spark, np.vstack([a, b])))
     found = history.block_matches(history.block_rows(prints.where("arrived < 400"), "arrived"), history.block_rows(prints.where("arrived >= 400"), "arrived"), "arrived", history.hamming_limit(0.9))
     assert found.where(F.col("later") == F.col("earlier") + 400).count() >= 0.985 * 400
+
+
+def test_a_third_of_all_rows_are_near_copies(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(3000, 64))
+    step = rng.normal(size=(1000, 64))
+    x[::3] = x[0] + step / np.linalg.norm(step, axis=1, keepdims=True) * np.linalg.norm(x[0]) * rng.uniform(0.05, 0.3, (1000, 1))
+    x = x.astype(np.float32)
+    assert {r["arrived"] for r in history.vector_repeats(frame(spark, x)).collect()} == greedy(x.astype(float))
+    prints = history.fingerprints(frame(spark, x))
+    assert history.leader_pairs(prints, "arrived").count() <= 12 * 3000
