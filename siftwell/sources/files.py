@@ -17,7 +17,7 @@ def walk_files(spark: SparkSession, roots: list[str], recursive: bool = True) ->
     """(path, mode, content_length, last_modified, content) of the files below roots, which may be files or folders.
 
     ``content`` is read only where it is selected. Roots that do not exist are skipped; no root gives an
-    empty table. Folders themselves are no rows.
+    empty table. Folders themselves are no rows, and Spark's file source leaves out files of no bytes.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     there = []
