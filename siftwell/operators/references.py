@@ -72,11 +72,9 @@ def object_timeline(listing: DataFrame) -> DataFrame:
     One shuffle by path; the set of an object's snapshots is as long as there are snapshots at most.
     The times of all snapshots (one row per delivery) are the only thing the driver holds.
     """
-    times = sorted(r[0] for r in listing.select("taken_at").where("taken_at is not null").distinct().collect())
-    spark = listing.sparkSession
-    following = spark.createDataFrame(
-        [(a, b) for a, b in zip(times, [*times[1:], None])], "taken_at timestamp, next_at timestamp"
-    )
+    times = sorted(r[0] for r in listing.where("taken_at is not null").select(F.unix_micros("taken_at")).distinct().collect())
+    steps = listing.sparkSession.createDataFrame(list(zip(times, [*times[1:], None])), "a bigint, b bigint")
+    following = steps.select(F.timestamp_micros("a").alias("taken_at"), F.timestamp_micros("b").alias("next_at"))
     here = (
         listing.where((F.col("mode") == "FILE") & ~F.coalesce(F.col("is_deleted"), F.lit(False)))
         .where("path is not null")
@@ -142,9 +140,10 @@ def orphan_references(references: DataFrame, timelines: DataFrame) -> DataFrame:
         .when(F.exists(past, lambda e: e["sign"] > 0), F.lit("deleted"))
         .otherwise(F.lit("late"))
     )
+    month = F.date_format(F.to_utc_timestamp("t", F.current_timezone()), "yyyy-MM")
     return (
         joined.select(
-            "ref_table", "ref_column", "ref_row", reason.alias("reason"), F.date_format("t", "yyyy-MM").alias("period")
+            "ref_table", "ref_column", "ref_row", reason.alias("reason"), month.alias("period")
         )
         .where("reason is not null")
         .distinct()

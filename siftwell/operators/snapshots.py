@@ -99,10 +99,10 @@ def listing_changes(listing: DataFrame) -> DataFrame:
     Only the positions of the snapshots come to the driver (one row per delivered snapshot); the first
     snapshot has no predecessor and gives no rows.
     """
-    order = [(r["taken_at"], r["snapshot_no"], r["seq"]) for r in snapshot_order(listing).collect()]
-    spark = listing.sparkSession
-    schema = "taken_at timestamp, snapshot_no int, seq int"
-    positions = F.broadcast(spark.createDataFrame(order, schema))
+    known = snapshot_order(listing).select(F.unix_micros("taken_at").alias("us"), "snapshot_no", "seq").collect()
+    order = [(r["us"], r["snapshot_no"], r["seq"]) for r in known]
+    table = listing.sparkSession.createDataFrame(order, "us bigint, snapshot_no int, seq int")
+    positions = F.broadcast(table.select(F.timestamp_micros("us").alias("taken_at"), "snapshot_no", "seq"))
     rows = present_objects(listing).drop("snapshot_no").join(positions.select("taken_at", "seq"), "taken_at")
     found = diff_snapshots(
         rows.select("seq", "path", "etag", "content_length", "last_modified"),

@@ -285,6 +285,90 @@ def points_after_transfer(spark: SparkSession, d: str) -> DataFrame:
     return after.select("id", F.coalesce(F.array_join("categories", "|"), F.lit("")).alias("categories"))
 
 
+def collection_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Row counts of the stored collections."""
+    names = ("embeddings", "documents", "point_metadata", "object_listing")
+    parts = [read_table(spark, d, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("name"), "n") for t in names]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+def named_vector_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Points with a UUID id and a text vector."""
+    rows = read_table(spark, d, "point_metadata").select("id", F.col("text_info.text_vector").alias("text_vector"))
+    return point_table.scan_points(rows, "text_vector").groupBy("id").agg(F.count("*").alias("records"))
+
+
+def members_without_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Cluster members with the size of their point, 0 where the point or its size is unknown."""
+    points = current_points(spark, d).select("id", "size")
+    return _members(spark, d).join(points, "id", "left").select("cluster_id", "id", F.coalesce("size", F.lit(0)).alias("size"))
+
+
+def largest_member(spark: SparkSession, d: str) -> DataFrame:
+    rows = members_without_metadata(spark, d)
+    return rows.groupBy("cluster_id").agg(clusters.pick_largest(F.col("size"), F.col("id")).alias("id"))
+
+
+def cluster_member_lists(spark: SparkSession, d: str) -> DataFrame:
+    rows = clusters.collect_members(_members(spark, d), "cluster_id", "id")
+    n = F.size("members").cast("bigint")
+    return rows.select("cluster_id", F.array_join("members", "|").alias("members"), clusters.pair_total(n).alias("pairs"))
+
+
+def triage_counts(spark: SparkSession, d: str) -> DataFrame:
+    return cluster_triage(spark, d).groupBy("action").agg(F.count("*").alias("n"))
+
+
+def unit_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Length before, and first coordinate after normalisation."""
+    rows = _embeddings(spark, d).select("vec_id", F.col("embedding").alias("v"))
+    return rows.select("vec_id", F.round(vectors.norm(F.col("v")), 4).alias("length"), F.round(F.element_at(vectors.l2_normalize(F.col("v")), 1).cast("double"), 4).alias("x"))
+
+
+def mean_vectors(spark: SparkSession, d: str) -> DataFrame:
+    from siftwell.functions.images import mean_vector
+
+    rows = mean_vector(_embeddings(spark, d), "label", "embedding")
+    return rows.select("label", F.posexplode("embedding").alias("i", "x")).select("label", "i", F.round(F.col("x").cast("double"), 4).alias("x"))
+
+
+def byte_distances(spark: SparkSession, d: str) -> DataFrame:
+    """Unequal bytes, their share, and unequal bits of the hashes of each label's vectors."""
+    rows = _embeddings(spark, d).select("vec_id", "label", vectors.sign_bytes(F.col("embedding"), 64).alias("h"))
+    pairs = rows.alias("l").join(rows.alias("r"), (F.col("l.label") == F.col("r.label")) & (F.col("l.vec_id") < F.col("r.vec_id")))
+    a, b = F.col("l.h"), F.col("r.h")
+    return pairs.select(
+        F.col("l.vec_id").alias("a"), F.col("r.vec_id").alias("b"), vectors.hamming_bytes(a, b).alias("bytes"),
+        F.round(vectors.hamming_bytes(a, b, share=True), 6).alias("share"), vectors.hamming_bits(a, b).alias("bits"),
+    )
+
+
+def bytes_as_numbers(spark: SparkSession, d: str) -> DataFrame:
+    rows = read_table(spark, d, "point_source").where("blob_head is not null").select("row_id", "blob_head").distinct()
+    return rows.select("row_id", F.aggregate(vectors.bytes_to_floats(F.col("blob_head")), F.lit(0.0), lambda s, x: s + x).cast("bigint").alias("total"))
+
+
+def parsed_stems(spark: SparkSession, d: str) -> DataFrame:
+    """How many reference spellings are UUIDs, per column."""
+    from siftwell.sources.files import parse_ids
+
+    rows = read_table(spark, d, "search_result").select(paths.file_stem(F.col("uri")).alias("stem"))
+    good, bad = parse_ids(rows, "stem")
+    return good.agg(F.count("*").alias("n")).select(F.lit("id").alias("kind"), "n").union(bad.agg(F.count("*").alias("n")).select(F.lit("error").alias("kind"), "n"))
+
+
+def chunk_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per chunk of 20,000 by index."""
+    chunk = F.floor(F.col("o_orderkey") / complete_link.CHUNK_ROWS).alias("chunk")
+    return read_table(spark, d, "orders").groupBy(chunk).agg(F.count("*").alias("n"))
+
+
+def ingest_names(spark: SparkSession, d: str) -> DataFrame:
+    """Content-addressed targets of the blob heads."""
+    files = _named_blobs(spark, d, ".jpg").withColumnRenamed("blob_head", "content")
+    return extensions.ingest_plan(files, "/store").select("src", "dst", "action", "wrong_ext")
+
+
 _NEAR = f"""near AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS similarity
   FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)"""
 _COMPONENTS = f"""
@@ -380,6 +464,8 @@ QUERIES = {
         cluster_size_histogram, largest_clusters, order_statistics, largest_line_per_order, top_lines_per_supplier, fetch_by_ids,
         ids_without_match, distinct_pairs, content_ids, exact_duplicate_groups, ext_verdicts, ext_verdicts_local, detected_types,
         filtered_paths, rename_plan, payload_plan, uri_for_points, payload_projection, frame_sampling, vector_store_changes,
+        collection_counts, named_vector_scan, members_without_metadata, largest_member, cluster_member_lists, triage_counts,
+        unit_vectors, mean_vectors, byte_distances, bytes_as_numbers, parsed_stems, chunk_sizes, ingest_names,
         point_metadata, cluster_triage, final_classification, tag_transfer, points_after_transfer,
     )
 }
@@ -429,6 +515,25 @@ ORACLES = {
     "frame_sampling": "SELECT l_orderkey, l_linenumber, CASE WHEN n < 5 THEN range(0, n) ELSE list_sort(list_distinct([0, n // 4, n * 2 // 4, n * 3 // 4, n - 1])) END AS frames FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS n FROM lineitem)",
     "vector_store_changes": "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS idx, CAST(vec_id AS VARCHAR) AS id, round(CAST(CASE WHEN label = 1 THEN embedding[64] ELSE embedding[1] END AS DOUBLE), 6) AS x FROM embeddings WHERE label <> 2",
     "point_metadata": f"WITH {_CURRENT} SELECT id, r.height AS height, coalesce(r.width, r.weight) AS width, r.size AS size, coalesce(list_aggregate({_PLAIN_TAGS.format(c='r.categories')}, 'string_agg', '|'), '') AS categories, text_info IS NOT NULL AS has_text FROM cur",
+    "collection_counts": "SELECT 'embeddings' AS name, count(*) AS n FROM embeddings UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'point_metadata', count(*) FROM point_metadata UNION ALL SELECT 'object_listing', count(*) FROM object_listing",
+    "named_vector_scan": "SELECT id, count(*) AS records FROM point_metadata WHERE regexp_full_match(id, '[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}') AND text_info.text_vector IS NOT NULL GROUP BY 1",
+    "members_without_metadata": f"WITH {_MEMBERS}, {_CURRENT} SELECT cluster_id, mem.id, coalesce(cur.r.size, 0) AS size FROM mem LEFT JOIN cur USING (id)",
+    "largest_member": f"WITH {_MEMBERS}, {_CURRENT} SELECT cluster_id, arg_max(mem.id, (coalesce(cur.r.size, 0), mem.id)) AS id FROM mem LEFT JOIN cur USING (id) GROUP BY 1",
+    "cluster_member_lists": f"WITH {_MEMBERS} SELECT cluster_id, string_agg(id, '|' ORDER BY id) AS members, count(*) * (count(*) - 1) // 2 AS pairs FROM mem GROUP BY 1",
+    "triage_counts": f"{_TRIAGE} SELECT action, count(*) AS n FROM triaged GROUP BY 1",
+    "unit_vectors": "WITH l AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings) SELECT vec_id, round(n, 4) AS length, CASE WHEN n > 0 THEN round(v[1] / n, 4) END AS x FROM l",
+    "mean_vectors": "WITH m AS (SELECT label, i, avg(x::DOUBLE) AS m FROM (SELECT label, unnest(embedding) AS x, unnest(range(0, 64)) AS i FROM embeddings) GROUP BY 1, 2) "
+    "SELECT label, i, round(m / sqrt(sum(m * m) OVER (PARTITION BY label)), 4) AS x FROM m",
+    "byte_distances": f"WITH s AS (SELECT vec_id, label, list_transform(embedding, lambda x: x > 0) AS s FROM embeddings), p AS (SELECT a.vec_id AS a, b.vec_id AS b, {_BYTES} AS share, {_BITS} AS bits FROM s a JOIN s b ON a.label = b.label AND a.vec_id < b.vec_id) "
+    "SELECT a, b, CAST(share * 8 AS INTEGER) AS bytes, round(share, 6) AS share, bits FROM p",
+    "bytes_as_numbers": "SELECT row_id, list_sum(list_transform(range(0, octet_length(blob_head)), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)) AS total FROM (SELECT DISTINCT row_id, blob_head, hex(blob_head) AS h FROM point_source WHERE blob_head IS NOT NULL)",
+    "parsed_stems": f"WITH s AS (SELECT {uuid_sql(_STEM.format(p='uri').replace('[^/]+?', '[^/' + chr(92) * 2 + ']+?').replace('[^./]*', '[^./' + chr(92) * 2 + ']*'))} AS id FROM search_result) "
+    "SELECT CASE WHEN coalesce(regexp_full_match(id, '[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}'), FALSE) THEN 'id' ELSE 'error' END AS kind, count(*) AS n FROM s GROUP BY 1",
+    "chunk_sizes": "SELECT o_orderkey // 20000 AS chunk, count(*) AS n FROM orders GROUP BY 1",
+    "ingest_names": f"""WITH b AS (SELECT DISTINCT {uuid_sql('id')} AS id, blob_head FROM point_source WHERE kind = 'blob'),
+f AS (SELECT id, {_MAGIC.replace('h LIKE', 'hx LIKE').replace('substr(h,', 'substr(hx,')} AS found, sha1(unhex('4f20175332b85108aa76d2e8c65310f4') || encode(sha1(blob_head))) AS h FROM (SELECT *, upper(hex(blob_head)) AS hx FROM b))
+SELECT id || '.jpg' AS src, '/store/' || concat_ws('-', h[1:8], h[9:12], '5' || h[14:16], substr('89ab', (instr('0123456789abcdef', h[17:17]) - 1) % 4 + 1, 1) || h[18:20], h[21:32]) || '.' || coalesce(found, 'jpg') AS dst,
+  CASE WHEN found IS NULL THEN 'failed' ELSE 'copy' END AS action, CASE WHEN found <> 'jpg' THEN found END AS wrong_ext FROM f""",
     "cluster_triage": f"{_TRIAGE} SELECT cluster_id, id, action FROM triaged",
     "final_classification": f"{_TRIAGE} SELECT cluster_id, {_LISTS} FROM settled GROUP BY 1",
     "tag_transfer": f"{_TRANSFER} SELECT cluster_id, id, op, CASE WHEN tags IS NOT NULL THEN coalesce(list_aggregate(tags, 'string_agg', '|'), '') END AS categories FROM plan",

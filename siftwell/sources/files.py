@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,44 @@ def read_heads(listing: DataFrame, size: int = HEAD_BYTES, path: str = "path") -
     return listing.mapInPandas(run, schema)
 
 
+def parse_ids(rows: DataFrame, stem: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with a canonical ``id``, error rows (stem, error)) by whether the stem is a UUID in some spelling."""
+    from siftwell.functions.ids import canonical_uuid
+
+    named = rows.withColumn("id", canonical_uuid(stem))
+    good = F.coalesce(F.col("id").rlike(r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"), F.lit(False))
+    return named.where(good), named.where(~good).select(F.col(stem).alias("stem"), F.lit("not a UUID").alias("error"))
+
+
+def load_filter_config(path: str | None = None, include: list[str] | None = None, exclude: list[str] | None = None) -> dict[str, list[str]]:
+    """Include and exclude texts of a JSON file (include_files, exclude_files) joined with those given."""
+    held: dict = {}
+    if path:
+        with open(path, encoding="utf-8") as f:
+            held = json.load(f)
+    return {"include": [*held.get("include_files", []), *(include or [])], "exclude": [*held.get("exclude_files", []), *(exclude or [])]}
+
+
+def download_plan(ids: DataFrame, root: str, target: str, ext: str = "gif") -> DataFrame:
+    """(id, src, dst, action) to fetch one object per id; objects that are there are skipped when it is carried out."""
+    name = F.concat("id", F.lit("." + ext))
+    at = lambda folder: F.concat(F.lit(folder.rstrip("/") + "/"), name)
+    return ids.select("id").where("id is not null").distinct().select("id", at(root).alias("src"), at(target).alias("dst"), F.lit("copy").alias("action"))
+
+
+def object_store_settings(env: dict[str, str] | None = None, retries: int = 20) -> dict[str, str]:
+    """Spark settings of an S3-compatible store from the usual environment names; absent ones are left out."""
+    env = dict(os.environ) if env is None else env
+    names = {
+        "AWS_ACCESS_KEY_ID": "spark.hadoop.fs.s3a.access.key",
+        "AWS_SECRET_ACCESS_KEY": "spark.hadoop.fs.s3a.secret.key",
+        "AWS_ENDPOINT_URL": "spark.hadoop.fs.s3a.endpoint",
+        "AWS_REGION": "spark.hadoop.fs.s3a.endpoint.region",
+    }
+    found = {key: env[name] for name, key in names.items() if env.get(name)}
+    return found | {"spark.hadoop.fs.s3a.attempts.maximum": str(retries)}
+
+
 def write_checkpointed(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Writes unless the target exists and ``overwrite`` is false."""
     df.write.mode("overwrite" if overwrite else "ignore").parquet(path)
