@@ -44,6 +44,8 @@ _LATIN = str.maketrans({
     "ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "å": "aa",
 })
 
+_INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x2060, 0xFEFF])
+
 _ORDERS = (2, 3)
 _BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
 _NOT_PROSE = re.compile(r"^\s*(?:[\[(]?\d{1,2}:\d{2}(?::\d{2})?\b|\d{4}-\d{2}-\d{2}[T ]|\{.*\}\s*$|[#=]{1,6}(?:\s|\d)|@\w+:?\s*$|</?\w+[^>]*>\s*$)")
@@ -80,6 +82,12 @@ class Segment:
     text: str
 
 
+def _readable(text: str) -> str:
+    """Words put together again at line breaks, without invisible characters, in compatible letters."""
+    text = text.replace("-\n", "")
+    return text if text.isascii() else unicodedata.normalize("NFKC", text).translate(_INVISIBLE)
+
+
 def sentences(text: str | None) -> list[Segment]:
     """Sentences with the number of their paragraph and their place in the original text.
 
@@ -98,7 +106,7 @@ def sentences(text: str | None) -> list[Segment]:
         body = "\n".join(kept)
         body = _MARKS.sub(lambda m: " " * len(m.group()), body)
         for m in _SENTENCE.finditer(body):
-            words = _LETTERS.findall(m.group().replace("-\n", ""))
+            words = _LETTERS.findall(_readable(m.group()))
             if sum(map(len, words)) >= 8:
                 lead = len(m.group()) - len(m.group().lstrip())
                 out.append(Segment(number, start + m.start() + lead, start + m.end(), " ".join(words).lower()))
