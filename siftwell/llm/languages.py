@@ -80,6 +80,7 @@ class Segment:
     start: int
     end: int
     text: str
+    weight: int  # letters, those of scripts without word spaces counting three times
 
 
 def _readable(text: str) -> str:
@@ -107,9 +108,13 @@ def sentences(text: str | None) -> list[Segment]:
         body = _MARKS.sub(lambda m: " " * len(m.group()), body)
         for m in _SENTENCE.finditer(body):
             words = _LETTERS.findall(_readable(m.group()))
-            if sum(map(len, words)) >= 8:
+            joined = " ".join(words)
+            weight = len(joined) - len(words) + 1
+            if not joined.isascii():
+                weight += 2 * sum(c > "\u2e80" for c in joined)
+            if weight > 8:
                 lead = len(m.group()) - len(m.group().lstrip())
-                out.append(Segment(number, start + m.start() + lead, start + m.end(), " ".join(words).lower()))
+                out.append(Segment(number, start + m.start() + lead, start + m.end(), joined.lower(), weight - 1))
         start, number = following, number + 1
     return out
 
@@ -245,40 +250,64 @@ def fit_on_documents(documents: DataFrame, max_documents: int = 3000, max_senten
     return fit_codes(texts, labels)
 
 
-def segment_runs(found: list[Segment], best: np.ndarray, sure: np.ndarray, least_sure: float) -> list[tuple[int, int, int, int, int, float]]:
-    """(paragraph, start, end, language, sentences, confidence) of runs of one language within a paragraph.
+#: Letters below which a sentence is too short to bring in a language of its own.
+LEAST_LETTERS = 30
 
-    A sentence below ``least_sure`` joins its neighbour: it takes the language of the sentence before it
-    in its paragraph, or else after it, and its own only if it stands alone.
+
+@dataclass(frozen=True)
+class Run:
+    """Sentences of one language that follow each other in a paragraph."""
+
+    paragraph: int
+    start: int
+    end: int
+    language: int
+    sentences: int
+    weight: int
+    confidence: float
+
+
+def segment_runs(found: list[Segment], best: np.ndarray, sure: np.ndarray, least_sure: float) -> list[Run]:
+    """Runs of one language within a paragraph.
+
+    A sentence that is ambiguous (below ``least_sure``) or short takes the language of the nearest other
+    sentence before it in its paragraph, or else after it; where all are such, that of the longest one.
     """
     lang = best.copy()
     para = np.array([s.paragraph for s in found])
-    unsure = sure < least_sure
-    for i in np.flatnonzero(unsure):
-        for j in (i - 1, i + 1):
-            if 0 <= j < len(found) and para[j] == para[i] and (j < i or not unsure[j]):
-                lang[i] = lang[j]
-                break
-    runs: list[tuple[int, int, int, int, int, float]] = []
+    weak = (sure < least_sure) | np.array([s.weight < LEAST_LETTERS for s in found], bool)
+    for p in np.unique(para[weak]) if len(found) else ():
+        inside = np.flatnonzero(para == p)
+        strong = inside[~weak[inside]]
+        heaviest = max(inside, key=lambda i: (found[i].weight, -i))
+        for i in inside[weak[inside]]:
+            before, after = strong[strong < i], strong[strong > i]
+            lang[i] = best[before[-1] if len(before) else after[0] if len(after) else heaviest]
+    runs: list[Run] = []
     i = 0
     while i < len(found):
         j = i
         while j + 1 < len(found) and para[j + 1] == para[i] and lang[j + 1] == lang[i]:
             j += 1
-        runs.append((int(para[i]), found[i].start, found[j].end, int(lang[i]), j - i + 1, float(sure[i : j + 1].mean())))
+        weight = sum(s.weight for s in found[i : j + 1])
+        runs.append(Run(int(para[i]), found[i].start, found[j].end, int(lang[i]), j - i + 1, weight, float(sure[i : j + 1].mean())))
         i = j + 1
     return runs
 
 
-def counted_runs(runs: list[tuple[int, int, int, int, int, float]]) -> list[tuple[int, int, int, int, int, float]]:
-    """The runs that put a language into the text: two or more sentences, or a whole paragraph."""
+def counted_runs(runs: list[Run]) -> list[Run]:
+    """The runs that put a language into the text: two or more sentences, or a whole paragraph.
+
+    Scraps of a few words count only in a text that has nothing longer.
+    """
     per: dict[int, int] = {}
     for run in runs:
-        per[run[0]] = per.get(run[0], 0) + 1
-    return [run for run in runs if run[4] >= 2 or per[run[0]] == 1]
+        per[run.paragraph] = per.get(run.paragraph, 0) + 1
+    whole = [run for run in runs if run.sentences >= 2 or per[run.paragraph] == 1]
+    return [run for run in whole if run.weight >= LEAST_LETTERS] or whole
 
 
-def _classified(batches: Iterator[pd.DataFrame], model: CodeModel, least_sure: float) -> Iterator[tuple[pd.DataFrame, list[list[tuple]]]]:
+def _classified(batches: Iterator[pd.DataFrame], model: CodeModel, least_sure: float) -> Iterator[tuple[pd.DataFrame, list[list[Run]]]]:
     for frame in batches:
         found = [sentences(t) for t in frame["text"]]
         best, sure = model.classify([s.text for doc in found for s in doc])
@@ -303,7 +332,7 @@ def language_segments(documents: DataFrame, model: CodeModel, least_sure: float
             rows = []
             for doc_id, own in zip(frame["doc_id"], runs):
                 counted = set(counted_runs(own))
-                rows += [(doc_id, k, r[1], r[2], held.languages[r[3]], r[4], r in counted, round(r[5], 4)) for k, r in enumerate(own)]
+                rows += [(doc_id, k, r.start, r.end, held.languages[r.language], r.sentences, r in counted, round(r.confidence, 4)) for k, r in enumerate(own)]
             yield pd.DataFrame(rows, columns=["doc_id", "segment_no", "start", "end", "lang", "sentences", "counted", "confidence"])
 
     schema = "doc_id bigint, segment_no int, start int, end int, lang string, sentences int, counted boolean, confidence double"
@@ -320,8 +349,8 @@ def document_languages(documents: DataFrame, model: CodeModel, least_sure: float
             rows = []
             for doc_id, label, own in zip(frame["doc_id"], frame["lang"], runs):
                 counted = counted_runs(own)
-                langs = sorted({held.languages[r[3]] for r in counted})
-                sure = min((r[5] for r in counted), default=0.0)
+                langs = sorted({held.languages[r.language] for r in counted})
+                sure = min((r.confidence for r in counted), default=0.0)
                 rows.append((doc_id, sorted(label_languages(label if isinstance(label, str) else None)), langs, round(sure, 4)))
             yield pd.DataFrame(rows, columns=["doc_id", "label", "langs", "confidence"])
 

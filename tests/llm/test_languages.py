@@ -80,6 +80,11 @@ def test_rule(spark, model):
     assert got == [["de", "en"], ["de", "en"], ["en"], ["en", "fr"], ["fr"], ["en"], [], [], [], ["de"]]
 
 
+def test_scraps_bring_in_no_language(spark, model):
+    got = langs(spark, model, f"den Abständen 62519 und ...\n\n{EN}", f"{EN} Explique ...", "Kein Bild da.", f"{EN}\n\nKupuzurk vectors ...")
+    assert got[0] == got[1] == got[3] == ["en"] and len(got[2]) == 1
+
+
 def test_mislabelled(spark, model):
     rows = [(1, EN, "en"), (2, EN, "de"), (3, EN, None), (4, f"{EN}\n\n{DE}", "en"), (5, f"{EN}\n\n{DE}", "de+en"), (6, "", "en"), (7, None, None), (8, EN, "mul")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
