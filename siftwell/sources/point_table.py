@@ -159,7 +159,7 @@ class PointTableBuilder:
 def _dense(rows: DataFrame, *order: str) -> DataFrame:
     """(idx, id, vec) numbered from 0 by ``order``: ranges are counted, so no task holds all rows."""
     columns = list(order)
-    parts = max(1, rows.sparkSession._jsparkSession.sessionState().conf().numShufflePartitions())
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sorted_rows = rows.repartitionByRange(parts, *columns).sortWithinPartitions(*columns).withColumn("_row", F.monotonically_increasing_id())
     from siftwell.runtime import Workspace
 

@@ -127,3 +127,29 @@ def test_writes(spark, tmp_path):
     assert (tmp_path / "v_wrong.json").exists() and (tmp_path / "v_failed.json").exists()
     assert files.write_errors(one, str(tmp_path / "e")) and not files.write_errors(one.limit(0), str(tmp_path / "f"))
     assert not (tmp_path / "f").exists()
+
+
+def test_parse_ids(spark):
+    rows = spark.createDataFrame([("6C439572-44ed-5ba9-a6fb-627b06406c73", 1), ("5", 2), ("cover", 3), (None, 4)], "name string, n int")
+    good, bad = files.parse_ids(rows, "name")
+    assert {(r["n"], r["id"]) for r in good.collect()} == {(1, "6c439572-44ed-5ba9-a6fb-627b06406c73"), (2, "00000000-0000-0000-0000-000000000005")}
+    assert {r["stem"] for r in bad.collect()} == {"cover", None}
+
+
+def test_filter_config(tmp_path):
+    (tmp_path / "c.json").write_text('{"include_files": ["a"], "exclude_files": ["b"]}')
+    assert files.load_filter_config(str(tmp_path / "c.json"), include=["x"]) == {"include": ["a", "x"], "exclude": ["b"]}
+    assert files.load_filter_config() == {"include": [], "exclude": []}
+
+
+def test_downloads(spark, tree):
+    ids = spark.createDataFrame([("a",), ("a",), (None,), ("gone",)], "id string")
+    plan = files.download_plan(ids, f"{tree}/in", f"{tree}/out", "png")
+    outcomes = {r["src"].rsplit("/", 1)[-1]: r["outcome"] for r in files.carry_out(plan, action="action", apply=True).collect()}
+    assert outcomes["a.png"] == "done" and outcomes["gone.png"].startswith("failed")
+    assert {r["outcome"] for r in files.carry_out(plan.where("id = 'a'"), action="action", apply=True).collect()} == {"skipped"}
+
+
+def test_store_settings():
+    got = files.object_store_settings({"AWS_ACCESS_KEY_ID": "k", "AWS_ENDPOINT_URL": "http://e"})
+    assert got == {"spark.hadoop.fs.s3a.access.key": "k", "spark.hadoop.fs.s3a.endpoint": "http://e", "spark.hadoop.fs.s3a.attempts.maximum": "20"}
