@@ -172,7 +172,10 @@ def window_best(unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int,
 
 
 def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: float, sample_size: int, curves: int) -> DataFrame:
-    """(rid, near): per vector of ``vectors`` (rid, vec) its k best as (minus cosine, rid), best first."""
+    """(rid, near): per vector of the saved table ``vectors`` (rid, vec) its k best as (minus cosine, rid), best first.
+
+    The table is dropped once its keys and packed coordinates are written.
+    """
     spark = vectors.sparkSession
     n = vectors.count()
     sample = hashed_sample(vectors, "rid", sample_size, n).select("vec").toPandas()["vec"]
@@ -193,8 +196,9 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
                 keys, cells = np.zeros((0, curves), np.int64), {"packed": []}
             yield pd.DataFrame({"rid": frame["rid"], **cells, **{c: keys[:, i] for i, c in enumerate(names)}})
 
-    keyed = work.save(vectors.mapInPandas(key, "rid bigint, packed binary, " + ", ".join(f"{c} bigint" for c in names)))
+    keyed = work.save(vectors.select("rid", "vec").mapInPandas(key, "rid bigint, packed binary, " + ", ".join(f"{c} bigint" for c in names)))
 
+    work.drop(vectors)
     window = math.ceil(window_factor * n ** (2 / 3))
     ranges = max(1, round(n / (8 * window)))
     accuracy = max(1000, math.ceil(5 * math.sqrt(n)))  # ranks within a small part of the window
@@ -271,10 +275,9 @@ def similar_pairs(
     # numbers in the order of the ids, made in the job that sorts
     points = work.save(known.orderBy("id").select(F.monotonically_increasing_id().alias("n"), "id", "vec"))
     groups = work.save(points.groupBy("vec").agg(F.min("n").alias("rid"), F.count("*").alias("members")))
-    lists = curve_lists(groups.select("rid", "vec"), work, k, window_factor, sample_size, curves)
-    near = work.save(lists)
-    single = near.select(F.col("rid").alias("n"), F.explode("near.other").alias("m"))
     copied = work.save(groups.where("members > 1").select("rid", "vec"))
+    near = work.save(curve_lists(groups, work, k, window_factor, sample_size, curves))
+    single = near.select(F.col("rid").alias("n"), F.explode("near.other").alias("m"))
     if not copied.isEmpty():
         single = _with_copies(points, copied, near, work, k)
     pairs = single.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct()
