@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.operators.components import star_components
 from siftwell.runtime import Workspace
 
 
@@ -54,29 +55,6 @@ def _contract(edges: DataFrame, gone: DataFrame) -> DataFrame:
     return kept.unionByName(bridges).distinct()
 
 
-def _solve_core(edges: DataFrame, work: Workspace) -> DataFrame:
-    """(x, root) of the vertices of the core by alternating large-star and small-star steps."""
-    current, before = edges, None
-    while True:
-        both = current.select("u", "v").unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v"), F.col("m").alias("u")).where("u <> v").distinct()
-        # small star: each vertex joins its smaller neighbours, and itself, to the least of them
-        low = large.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y"))
-        low_min = low.groupBy("x").agg(F.min("y").alias("m"))
-        small = low.join(low_min, "x").select("m", F.explode(F.array("x", "y")).alias("v")).where("v <> m").select(F.col("m").alias("u"), "v").distinct()
-        after = work.save(small)
-        mark = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if current is not edges:
-            work.drop(current)
-        current = after
-        if mark == before:
-            break
-        before = mark
-    child = current.select(F.col("v").alias("x"), F.col("u").alias("root"))
-    return child.unionByName(current.select(F.col("u").alias("x"), F.col("u").alias("root")).distinct())
-
-
 def match_groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, group_id) for every vertex of a pair; group_id is the smallest id of its component.
 
@@ -99,7 +77,7 @@ def match_groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if edges is not start:
             work.drop(edges)
         edges, salt = after, salt + 1
-    roots = None if edges.isEmpty() else work.save(_solve_core(edges, work))
+    roots = None if edges.isEmpty() else work.save(star_components(edges, work))
     if attached is None:
         attached = start.select(F.col("u").alias("x"), F.col("v").alias("parent")).limit(0)
     pointers = work.save(attached)
