@@ -44,7 +44,8 @@ _LATIN = str.maketrans({
     "ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "å": "aa",
 })
 
-_INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x2060, 0xFEFF])
+_INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
+_WIDE = re.compile("[\u2e80-\uffef\U00020000-\U0003ffff]")
 
 _ORDERS = (2, 3)
 _BLANK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
@@ -86,7 +87,11 @@ class Segment:
 def _readable(text: str) -> str:
     """Words put together again at line breaks, without invisible characters, in compatible letters."""
     text = text.replace("-\n", "")
-    return text if text.isascii() else unicodedata.normalize("NFKC", text).translate(_INVISIBLE)
+    if text.isascii():
+        return text
+    if not unicodedata.is_normalized("NFKC", text):
+        text = unicodedata.normalize("NFKC", text)
+    return _INVISIBLE.sub("", text)
 
 
 def sentences(text: str | None) -> list[Segment]:
@@ -111,7 +116,7 @@ def sentences(text: str | None) -> list[Segment]:
             joined = " ".join(words)
             weight = len(joined) - len(words) + 1
             if not joined.isascii():
-                weight += 2 * sum(c > "\u2e80" for c in joined)
+                weight += 2 * len(_WIDE.findall(joined))
             if weight > 8:
                 lead = len(m.group()) - len(m.group().lstrip())
                 out.append(Segment(number, start + m.start() + lead, start + m.end(), joined.lower(), weight - 1))
@@ -273,16 +278,20 @@ def segment_runs(found: list[Segment], best: np.ndarray, sure: np.ndarray, least
     A sentence that is ambiguous (below ``least_sure``) or short takes the language of the nearest other
     sentence before it in its paragraph, or else after it; where all are such, that of the longest one.
     """
-    lang = best.copy()
-    para = np.array([s.paragraph for s in found])
-    weak = (sure < least_sure) | np.array([s.weight < LEAST_LETTERS for s in found], bool)
-    for p in np.unique(para[weak]) if len(found) else ():
-        inside = np.flatnonzero(para == p)
-        strong = inside[~weak[inside]]
-        heaviest = max(inside, key=lambda i: (found[i].weight, -i))
-        for i in inside[weak[inside]]:
-            before, after = strong[strong < i], strong[strong > i]
-            lang[i] = best[before[-1] if len(before) else after[0] if len(after) else heaviest]
+    lang, para = best.tolist(), [s.paragraph for s in found]
+    weak = [s.weight < LEAST_LETTERS or p < least_sure for s, p in zip(found, sure.tolist())]
+    if any(weak):
+        for p in {para[i] for i, w in enumerate(weak) if w}:
+            inside = [i for i, q in enumerate(para) if q == p]
+            last = None
+            later = next((lang[i] for i in inside if not weak[i]), None)
+            if later is None:
+                later = lang[max(inside, key=lambda i: (found[i].weight, -i))]
+            for i in inside:
+                if weak[i]:
+                    lang[i] = later if last is None else last
+                else:
+                    last = lang[i]
     runs: list[Run] = []
     i = 0
     while i < len(found):
@@ -290,7 +299,7 @@ def segment_runs(found: list[Segment], best: np.ndarray, sure: np.ndarray, least
         while j + 1 < len(found) and para[j + 1] == para[i] and lang[j + 1] == lang[i]:
             j += 1
         weight = sum(s.weight for s in found[i : j + 1])
-        runs.append(Run(int(para[i]), found[i].start, found[j].end, int(lang[i]), j - i + 1, weight, float(sure[i : j + 1].mean())))
+        runs.append(Run(para[i], found[i].start, found[j].end, lang[i], j - i + 1, weight, float(sure[i : j + 1].mean())))
         i = j + 1
     return runs
 
