@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.functions.vectors import cosine_similarity
+from siftwell.functions.vectors import dot, norm
 from siftwell.operators.components import star_components
 from siftwell.operators.similarity import IMAGE_THRESHOLD, similar_pairs
 from siftwell.runtime import Workspace
@@ -57,10 +57,10 @@ def _fold(members: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
 
 
 def pairs_in_groups(rows: DataFrame, group: str, key: str, vec: str, least: float) -> DataFrame:
-    """(a, b) of the same group, a < b, with a cosine above ``least``; the test is part of the join."""
-    side = rows.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(vec).alias("v"))
+    """(a, b) of the same group, a < b, with a cosine above ``least``; lengths are computed once a row."""
+    side = rows.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(vec).alias("v"), norm(F.col(vec)).alias("n")).where("n > 0")
     on = (F.col("l.g") == F.col("r.g")) & (F.col("l.k") < F.col("r.k"))
-    near = side.alias("l").join(side.alias("r"), on).where(cosine_similarity(F.col("l.v"), F.col("r.v")) > least)
+    near = side.alias("l").join(side.alias("r"), on).where(dot(F.col("l.v"), F.col("r.v")) / (F.col("l.n") * F.col("r.n")) > least)
     return near.select(F.col("l.k").alias("a"), F.col("r.k").alias("b"))
 
 
