@@ -9,6 +9,10 @@ are near it and keeps the principal directions, so that vectors of one topic lie
 The window grows with the power 2/3 of the number of vectors: in many dimensions a window of fixed size
 loses neighbours as vectors are added, and the square root still lost some from 80 thousand vectors to
 800 thousand. The work grows with the power 5/3, not 2.
+
+Copies of one direction, at any norm, are ordered once. Groups of near-copies larger than the window are
+found on the sample and compared exactly, every member with every other; that work is the square of the
+group's size.
 """
 
 from __future__ import annotations
@@ -19,13 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.history import cosine
 from siftwell.llm.vectors import hashed_sample, point_vectors
 from siftwell.runtime import Workspace
 
 _LEVELS = 127 * 258  # steps of the 16-bit coordinates that travel through the shuffle
+_SAME = 1e-13  # cosines that differ by less are equal
+_GROUP = 0.9  # least cosine of a near-copy to the centre of its group
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -131,6 +138,15 @@ def _pack16(unit: np.ndarray) -> np.ndarray:
     return np.rint(unit / np.abs(unit).max(axis=1, keepdims=True) * _LEVELS).astype("<i2")
 
 
+def _first_best(value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k largest of each row; equal values, to 13 decimals, go by the earlier column."""
+    k = min(k, value.shape[1])
+    value = np.round(value, 13)
+    kth = np.partition(value, value.shape[1] - k, axis=1)[:, value.shape[1] - k, None]
+    above, equal = value > kth, value == kth
+    return np.nonzero(above | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= k - above.sum(axis=1, keepdims=True))))
+
+
 def window_best(unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int, k: int, block: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, neighbour, cosine) of the k best of each own row among ``window`` rows before and after it.
 
@@ -156,7 +172,18 @@ def window_best(unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int,
             bound = np.partition(product, hi - lo - k, axis=1)[:, hi - lo - k]
         else:
             bound = np.full(e - s, -1.5, np.float32)
-        row, col = np.nonzero(product >= (bound - 2e-6)[:, None])
+        hit = product >= (bound - 2e-6)[:, None]
+        if np.count_nonzero(hit) <= 64 * k * (e - s):
+            row, col = np.nonzero(hit)
+        else:  # near-copies that single precision does not tell apart
+            by_rid, parts = np.argsort(rid[lo:hi]), []
+            for t in range(s, e, 64):
+                f = min(t + 64, e)
+                double = unit[t:f] @ unit[lo:hi].T
+                double[np.arange(f - t), np.arange(t, f) - lo] = -2
+                r, c = _first_best(double[:, by_rid], k)
+                parts.append((r + t - s, by_rid[c]))
+            row, col = (np.concatenate(x) for x in zip(*parts))
         kept = own[s + row] & (product[row, col] > -1.5)
         row, col = row[kept] + s, col[kept] + lo
         exact = np.einsum("ij,ij->i", unit[row], unit[col])
@@ -171,6 +198,92 @@ def window_best(unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int,
     return np.concatenate(left), np.concatenate(right), np.concatenate(value)
 
 
+def crowded_centres(sample: np.ndarray, share: float, rows: int = 4096) -> np.ndarray:
+    """Centres of the groups of near-copies that hold more than half of ``share`` of the sample."""
+    x = _unit(sample[:rows].astype(np.float64))
+    near = ((x @ x.T) >= _GROUP).astype(np.float32)
+    left, centres = np.ones(len(x), bool), []
+    while True:
+        held = near @ left.astype(np.float32) * left
+        lead = int(held.argmax())
+        if held[lead] < max(2, share * len(x) / 2):
+            return np.array(centres).reshape(-1, x.shape[1])
+        centre = x[(near[lead] > 0) & left].sum(axis=0)
+        centres.append(centre / np.linalg.norm(centre))
+        left &= x @ centres[-1] < _GROUP
+        left[lead] = False
+
+
+def _pair_best(a: np.ndarray, b: np.ndarray, ra: np.ndarray, rb: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, neighbour, cosine) of the k best rows of b for each row of a; rb ascends."""
+    parts = []
+    for s in range(0, len(a), 128):
+        product = a[s : s + 128] @ b.T
+        product[ra[s : s + 128, None] == rb[None]] = -2
+        width = len(b) // (4 * k)
+        if width >= 2:
+            best = product[:, : width * 4 * k].reshape(len(product), 4 * k, width).max(axis=2)
+            hit = product >= np.partition(best, 3 * k, axis=1)[:, 3 * k, None] - _SAME
+            few = np.count_nonzero(hit) <= 64 * k * len(product)
+            row, col = np.nonzero(hit) if few else _first_best(product, k)
+        else:
+            row, col = _first_best(product, k)
+        value = np.round(product[row, col], 13)
+        order = np.lexsort((col, -value, row))
+        row, col, value = row[order], col[order], value[order]
+        first = np.searchsorted(row, row)
+        top = (np.arange(len(row)) - first < k) & (value > -1.5)
+        parts.append((ra[s + row[top]], rb[col[top]], value[top]))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def crowded_lists(vectors: DataFrame, centres: np.ndarray, work: Workspace, k: int, block_rows: int = 32_768) -> tuple[DataFrame, DataFrame]:
+    """(rid, groups) of the members of the groups around ``centres``, and (rid, away, other): their k best among these.
+
+    Exact: blocks of a bounded size meet on a grid, each pair of blocks once.
+    """
+    spark = vectors.sparkSession
+    shared = spark.sparkContext.broadcast(centres)
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            if len(frame):
+                row, group = np.nonzero(_unit(np.stack(frame["vec"].to_numpy()).astype(np.float64)) @ shared.value.T >= _GROUP)
+                yield pd.DataFrame({"g": group.astype(np.int32), "rid": frame["rid"].to_numpy()[row], "vec": frame["vec"].to_numpy()[row]})
+
+    kind = vectors.schema["vec"].dataType.simpleString()
+    members = work.save(vectors.select("rid", "vec").mapInPandas(assign, f"g int, rid bigint, vec {kind}"))
+    sizes = members.groupBy("g").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    placed = members.join(F.broadcast(sizes), "g").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = placed.select("g", "rid", "vec", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+    def best(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("rid")
+        low, high = frame["lo"].iloc[0], frame["hi"].iloc[0]
+        unit, rid, block = _unit(np.stack(frame["vec"].to_numpy()).astype(np.float64)), frame["rid"].to_numpy(), frame["block"].to_numpy()
+        a, b = block == low, block == high
+        found = [_pair_best(unit[x], unit[y], rid[x], rid[y], k) for x, y in ([(a, b)] if low == high else [(a, b), (b, a)]) if x.any() and y.any()]
+        q, other, value = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pd.DataFrame({"rid": q, "away": -value, "other": other})
+
+    lists = cells.groupBy("g", "lo", "hi").applyInPandas(best, "rid bigint, away double, other bigint")
+    lists = lists.groupBy("rid", "other").agg(F.min("away").alias("away"))  # a pair may share several groups
+    belongs = members.groupBy("rid").agg(F.collect_list("g").alias("groups"))
+    return work.save(belongs), work.save(lists.select("rid", "away", "other"))
+
+
+def _with_crowded(near: DataFrame, belongs: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+    """The lists ``near`` (rid, near) with the exact ones of the crowded groups in place of what they hold of these."""
+    plain = near.join(belongs.select("rid"), "rid", "left_anti")
+    entries = near.join(belongs, "rid").select("rid", "groups", F.explode("near").alias("e")).select("rid", "groups", "e.*")
+    theirs = belongs.select(F.col("rid").alias("other"), F.col("groups").alias("held"))
+    outside = entries.join(theirs, "other", "left").where(~F.coalesce(F.arrays_overlap("groups", "held"), F.lit(False)))
+    both = outside.select("rid", "away", "other").unionByName(lists)
+    made = both.groupBy("rid").agg(F.slice(F.array_sort(F.collect_list(F.struct("away", "other"))), 1, k).alias("near"))
+    return plain.select("rid", "near").unionByName(made)
+
+
 def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: float, sample_size: int, curves: int) -> DataFrame:
     """(rid, near): per vector of the saved table ``vectors`` (rid, vec) its k best as (minus cosine, rid), best first.
 
@@ -198,8 +311,10 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
 
     keyed = work.save(vectors.select("rid", "vec").mapInPandas(key, "rid bigint, packed binary, " + ", ".join(f"{c} bigint" for c in names)))
 
-    work.drop(vectors)
     window = math.ceil(window_factor * n ** (2 / 3))
+    centres = crowded_centres(np.stack(sample.to_numpy()), window / n) if n > window else np.zeros((0, 0))
+    crowded = crowded_lists(vectors, centres, work, k) if len(centres) else None
+    work.drop(vectors)
     ranges = max(1, round(n / (8 * window)))
     accuracy = max(1000, math.ceil(5 * math.sqrt(n)))  # ranks within a small part of the window
     share = (window + n / accuracy + 64) / n
@@ -256,7 +371,8 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
     spread = placed.repartition(4 * cells, "cell")  # few cells share a partition
     lists = spread.groupBy("cell").applyInPandas(best, "rid bigint, other array<bigint>, away array<double>")
     merged = lists.groupBy("rid").agg(F.flatten(F.collect_list(F.arrays_zip("away", "other"))).alias("near"))
-    return merged.select("rid", F.slice(F.array_sort(F.array_distinct("near")), 1, k).alias("near"))
+    merged = merged.select("rid", F.slice(F.array_sort(F.array_distinct("near")), 1, k).alias("near"))
+    return _with_crowded(work.save(merged), *crowded, k) if crowded else merged
 
 
 def similar_pairs(
@@ -264,7 +380,7 @@ def similar_pairs(
 ) -> DataFrame:
     """Distinct (id_a, id_b), id_a < id_b, of which at least one is among the k most similar of the other.
 
-    ``vectors`` has id (unique) and vec (equally long, finite, not all zero). Vectors with equal numbers
+    ``vectors`` has id (unique) and vec (equally long, finite, not all zero). Vectors of equal direction
     are compared once: the curves order one of each, and the k + 1 smallest ids of a group of copies stand
     for it in the lists, so a group of any size adds k pairs a member. A NULL id takes no part; fewer than
     two vectors give an empty result. Approximate: a neighbour outside all windows is missed.
@@ -273,27 +389,50 @@ def similar_pairs(
     work = Workspace(spark, "neighbours")
     known = vectors.where("id is not null and vec is not null").select("id", "vec")
     # numbers in the order of the ids, made in the job that sorts
-    points = work.save(known.orderBy("id").select(F.monotonically_increasing_id().alias("n"), "id", "vec"))
-    groups = work.save(points.groupBy("vec").agg(F.min("n").alias("rid"), F.count("*").alias("members")))
-    copied = work.save(groups.where("members > 1").select("rid", "vec"))
-    near = work.save(curve_lists(groups, work, k, window_factor, sample_size, curves))
+    numbered = known.orderBy("id").select(F.monotonically_increasing_id().alias("n"), "id", "vec", _steps("vec").alias("steps"))
+    points = work.save(numbered.select("n", "id", "vec", F.xxhash64("steps").alias("h"), F.hash("steps").alias("g")))
+    alike = work.save(points.groupBy("h", "g").agg(F.min("n").alias("rid"), F.count("*").alias("members"), F.min_by("vec", "n").alias("vec")))
+    copied = work.save(alike.where("members > 1").select("h", "g", F.col("rid").alias("lead"), F.col("vec").alias("lead_vec")))
+    inside = None if copied.isEmpty() else _same_direction(points, copied, work)
+    groups = alike.where("members = 1").select("rid", "vec")
+    if inside is not None:
+        groups = groups.unionByName(inside.where("n = rid").select("rid", "vec"))
+    near = work.save(curve_lists(work.save(groups), work, k, window_factor, sample_size, curves))
     single = near.select(F.col("rid").alias("n"), F.explode("near.other").alias("m"))
-    if not copied.isEmpty():
-        single = _with_copies(points, copied, near, work, k)
+    if inside is not None:
+        single = _with_copies(inside.select("rid", "n"), near, work, k)
     pairs = single.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct()
     names = points.select("n", "id")
     as_a, as_b = names.select(F.col("n").alias("a"), F.col("id").alias("id_a")), names.select(F.col("n").alias("b"), F.col("id").alias("id_b"))
     return pairs.join(as_a, "a").join(as_b, "b").select("id_a", "id_b")
 
 
-def _with_copies(points: DataFrame, copied: DataFrame, near: DataFrame, work: Workspace, k: int) -> DataFrame:
-    """(n, m): the k best of every point where some vectors occur more than once.
+def _steps(vec: str) -> Column:
+    """Coordinates as steps of 1/4096 of the largest one: equal for copies at any norm but those on the edge of a step."""
+    top = F.array_max(F.transform(vec, F.abs)).cast("double")
+    return F.transform(vec, lambda x: F.rint(x.cast("double") / top * 4096).cast("int"))
+
+
+def _same_direction(points: DataFrame, copied: DataFrame, work: Workspace) -> DataFrame:
+    """(n, rid, vec) of the points with equal steps; rid is the first point of the same direction.
+
+    A point whose cosine to the first with its steps is 1 goes with it, others go with their equals only.
+    """
+    same = cosine(F.col("vec"), F.col("lead_vec")) >= 1 - _SAME
+    placed = work.save(points.join(copied, ["h", "g"]).select("n", "vec", F.when(same, F.col("lead")).alias("lead")))
+    apart = placed.where("lead is null").select("n", "vec")
+    firsts = apart.groupBy("vec").agg(F.min("n").alias("rid"))
+    own = placed.where("lead is not null").select("n", F.col("lead").alias("rid"), "vec")
+    return work.save(own.unionByName(apart.join(firsts, "vec").select("n", "rid", "vec")))
+
+
+def _with_copies(inside: DataFrame, near: DataFrame, work: Workspace, k: int) -> DataFrame:
+    """(n, m): the k best of every point where ``inside`` (rid, n) has the members of directions that may occur more than once.
 
     Only lists that hold a copied vector, or belong to one, are made again.
     """
     from pyspark.sql import Window
 
-    inside = work.save(points.join(copied, "vec").select("rid", "n"))
     by_number = Window.partitionBy("rid").orderBy("n")
     few = inside.withColumn("at", F.row_number().over(by_number)).where(F.col("at") <= k + 1)
     few = work.save(few.groupBy("rid").agg(F.sort_array(F.collect_list("n")).alias("numbers")))

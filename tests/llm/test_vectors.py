@@ -80,6 +80,34 @@ def test_a_third_of_all_rows_are_copies(spark):
     assert len(got & want) >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize("norms", ["powers of two", "any"])
+def test_a_third_of_all_rows_are_scaled_copies(spark, norms):
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(900, 8)).astype(np.float32)
+    scale = 2.0 ** rng.integers(-6, 7, 300) if norms == "powers of two" else rng.uniform(0.01, 50, 300)
+    x[::3] = x[0] * scale[:, None]
+    ids = [f"p{i:04d}" for i in rng.permutation(900)]
+    got, want = pairs(spark, x, ids), brute(x.astype(float), ids)
+    assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.97 * len(got)
+
+
+@pytest.mark.parametrize("noise", [1e-3, 0.2])
+def test_a_third_of_all_rows_are_near_copies_of_one_vector(spark, noise):
+    rng = np.random.default_rng(16)
+    x = rng.normal(size=(3000, 64))
+    x[::3] = (x[0] + noise * rng.normal(size=(1000, 64))) * rng.uniform(0.5, 2, (1000, 1))
+    x, ids = x.astype(np.float32), [f"p{i:04d}" for i in rng.permutation(3000)]
+    group = set(ids[::3])
+    inside = lambda found: {p for p in found if group.issuperset(p)}
+    want = x.astype(float)
+    want /= np.linalg.norm(want, axis=1, keepdims=True)
+    s = want @ want.T
+    np.fill_diagonal(s, -2)
+    want = {tuple(sorted((ids[i], ids[j]))) for i in range(3000) for j in np.lexsort((ids, -s[i].round(13)))[:10]}
+    got = inside(pairs(spark, x, ids))
+    assert len(got & inside(want)) >= 0.99 * len(inside(want)) and len(got & inside(want)) >= 0.99 * len(got)
+
+
 def test_no_vectors(spark):
     assert pairs(spark, np.zeros((0, 4)), []) == set()
     assert pairs(spark, np.ones((1, 4)), ["a"]) == set()
