@@ -1,7 +1,9 @@
-"""Density clustering: DBSCAN on pair tables, HDBSCAN per linked component, OPTICS on bounded samples."""
+"""Density clustering: DBSCAN on pair tables, HDBSCAN over a spanning tree of all pairs, OPTICS on bounded samples."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,9 +71,9 @@ def condense(edges: pd.DataFrame, nodes: list, min_size: int) -> dict:
     sum over its points of the density at which they leave less that at which the cluster ends. The whole
     tree may be one cluster, for it is a component of its own.
     """
-    parent = {x: x for x in nodes}
-    members = {x: [x] for x in nodes}
-    state: dict = {}  # root -> [sum of leaving densities, stability below, groups below]
+    parent, size = {x: x for x in nodes}, dict.fromkeys(nodes, 1)
+    joined = {x: (x,) for x in nodes}  # root -> nested pairs of what it was made of, read out once at the end
+    state: dict = {}  # root -> [sum of leaving densities, stability below, nested pairs of groups below]
 
     def find(x):
         while parent[x] != x:
@@ -81,65 +83,149 @@ def condense(edges: pd.DataFrame, nodes: list, min_size: int) -> dict:
 
     def settle(root, density):
         total, below, groups = state[root]
-        own = total - density * len(members[root])
-        return (below, groups) if below > own else (own, [list(members[root])])
+        own = total - density * size[root]
+        return (below, groups) if below > own else (own, [joined[root]])
 
     for a, b, w in edges.sort_values(["w", "a", "b"])[["a", "b", "w"]].itertuples(index=False):
         ra, rb = find(a), find(b)
         if ra == rb:
             continue
+        if size[ra] < size[rb]:
+            ra, rb = rb, ra
         density = min(1 / w if w > 0 else np.inf, 1e12)
         big = [r for r in (ra, rb) if r in state]
         if len(big) == 2:
             (low, first), (high, second) = settle(ra, density), settle(rb, density)
-            new = [density * (len(members[ra]) + len(members[rb])), low + high, first + second]
+            new = [density * (size[ra] + size[rb]), low + high, (first, second)]
         elif big:
             small = rb if big[0] == ra else ra
             total, below, groups = state[big[0]]
-            new = [total + density * len(members[small]), below, groups]
+            new = [total + density * size[small], below, groups]
         else:
-            joined = len(members[ra]) + len(members[rb])
-            new = [density * joined, 0.0, []] if joined >= min_size else None
+            both = size[ra] + size[rb]
+            new = [density * both, 0.0, ()] if both >= min_size else None
         parent[rb] = ra
-        members[ra].extend(members.pop(rb))
+        size[ra] += size.pop(rb)
+        joined[ra] = (joined[ra], joined.pop(rb))
         state.pop(rb, None)
         if new:
             state[ra] = new
     labels: dict = {}
-    for root in state:
-        for group in settle(root, 0.0)[1]:
-            labels.update(dict.fromkeys(group, min(group)))
+    open_groups = [settle(root, 0.0)[1] for root in state]
+    while open_groups:
+        groups = open_groups.pop()
+        if isinstance(groups, tuple):
+            open_groups.extend(groups)
+            continue
+        group, parts = [], list(groups)
+        while parts:
+            part = parts.pop()
+            if len(part) == 1:
+                group.append(part[0])
+            else:
+                parts.extend(part)
+        labels.update(dict.fromkeys(group, min(group)))
     return labels
 
 
+def _grid(rows: DataFrame, block_rows: int) -> DataFrame:
+    """``rows`` (key, ...) in the cells (lo, hi) of a grid of blocks, each pair of blocks one cell."""
+    blocks = max(1, math.ceil(rows.count() / block_rows))
+    placed = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return placed.select(*rows.columns, "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+
+def _unit_rows(values: pd.Series) -> np.ndarray:
+    x = np.stack(values.to_numpy()).astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _gaps(a: np.ndarray, b: np.ndarray, same: bool) -> np.ndarray:
+    """Euclidean distances of unit vectors; infinite from a row to itself."""
+    d = np.sqrt(np.maximum(2 - 2 * a @ b.T, 0))
+    if same:
+        np.fill_diagonal(d, np.inf)
+    return d
+
+
+def _cell_cores(n: int):
+    """Per row of a cell the ``n`` least distances to rows of the other block."""
+
+    def kernel(frame: pd.DataFrame) -> pd.DataFrame:
+        low, high = frame["lo"].iloc[0], frame["hi"].iloc[0]
+        a, b = frame[frame["block"] == low], frame[frame["block"] == high]
+        parts = []
+        if len(a) and len(b):
+            d = _gaps(_unit_rows(a["vec"]), _unit_rows(b["vec"]), low == high)
+            for keys, x in [(a["key"], d)] + ([(b["key"], d.T)] if low != high else []):
+                k = min(n, x.shape[1])
+                least = np.partition(x, k - 1, axis=1)[:, :k]
+                parts.append(pd.DataFrame({"key": np.repeat(keys.to_numpy(), k), "d": least.ravel()}))
+        out = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"key": frame["key"].iloc[:0], "d": np.zeros(0)})
+        return out[np.isfinite(out["d"])]
+
+    return kernel
+
+
+def _cell_forest(frame: pd.DataFrame) -> pd.DataFrame:
+    """(a, b, w): the minimum spanning tree of mutual reachability over a cell's pairs, by Prim's algorithm.
+
+    Of a cell of two blocks only the pairs between them count. An edge that is in no tree of its cell is the
+    heaviest of a cycle and in no tree of the whole.
+    """
+    low, high = frame["lo"].iloc[0], frame["hi"].iloc[0]
+    frame = frame.sort_values("key", ignore_index=True)
+    key, core, block = frame["key"].to_numpy(), frame["core"].to_numpy(), frame["block"].to_numpy()
+    unit, n = _unit_rows(frame["vec"]), len(frame)
+    if n < 2 or (low != high and (block == block[0]).all()):
+        return pd.DataFrame({"a": key[:0], "b": key[:0], "w": np.zeros(0)})
+    reach, source, out = np.full(n, np.inf), np.zeros(n, int), np.ones(n, bool)
+    ends, weight, at = [], [], 0
+    for _ in range(n - 1):
+        out[at] = False
+        w = np.maximum(np.sqrt(np.maximum(2 - 2 * unit @ unit[at], 0)), np.maximum(core, core[at]))
+        nearer = out & (w < reach)
+        if low != high:
+            nearer &= block != block[at]
+        reach[nearer], source[nearer] = w[nearer], at
+        at = int(np.where(out, reach, np.inf).argmin())
+        ends.append((source[at], at))
+        weight.append(reach[at])
+    i, j = np.array(ends).T
+    return pd.DataFrame({"a": key[np.minimum(i, j)], "b": key[np.maximum(i, j)], "w": weight})
+
+
 def hdbscan(
-    vectors: DataFrame, key: str, vec: str, max_distance: float, min_samples: int = 2, min_size: int = 2, max_component: int = 200_000, **options
-) -> DataFrame:
-    """(key, cluster_id): HDBSCAN on Euclidean distances of unit vectors up to ``max_distance``; noise has NULL.
+    vectors: DataFrame, key: str, vec: str, max_distance: float | None = None, min_samples: int = 2, min_size: int = 2,
+    max_component: int | None = None, block_rows: int = 2048,
+) -> DataFrame:
+    """(key, cluster_id): HDBSCAN on Euclidean distances of unit vectors; noise has NULL.
 
-    Mutual reachability is computed on the pairs within ``max_distance``, the spanning forest in Spark, and
-    every tree of it is condensed on its own; a tree of more than ``max_component`` nodes is an error.
-    The core distance is that to the ``min_samples``-th point, the point itself included.
+    The spanning tree of mutual reachability is that over all pairs, or those up to ``max_distance`` if one is
+    given: cells of a grid of blocks keep the edges of their own spanning trees, and the rounds in Spark join
+    these to one tree. Every tree is condensed on its own in one task, whose memory follows the tree; a ``max_component`` bounds it.
+    The core distance is that to the ``min_samples``-th point, the point itself included. Zero, NULL and NaN
+    vectors are noise.
     """
     work = Workspace(vectors.sparkSession, "hdbscan")
-    least = 1 - max_distance * max_distance / 2
-    pairs = similar_pairs(vectors, key, vec, least, **options)
-    pairs = work.save(pairs.select("a", "b", F.sqrt(F.greatest(2 - 2 * F.col("similarity"), F.lit(0.0))).alias("d")))
-    both = pairs.select("a", "d").unionByName(pairs.select(F.col("b").alias("a"), "d"))
+    rows = vectors.select(F.col(key).alias("key"), F.col(vec).alias("vec")).where("key is not null and vec is not null")
+    finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = work.save(rows.where(finite & F.exists("vec", lambda x: x != 0)))
+    kind = rows.schema["key"].dataType.simpleString()
     nth = max(min_samples - 1, 1)
-    from pyspark.sql import Window
-
-    ranked = both.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("d"))).where(F.col("r") == nth)
-    core = work.save(ranked.select(F.col("a").alias("x"), F.col("d").alias("core")))
-    reach = pairs.join(core.select(F.col("x").alias("a"), F.col("core").alias("ca")), "a").join(core.select(F.col("x").alias("b"), F.col("core").alias("cb")), "b")
-    forest = work.save(minimum_spanning_forest(reach.select("a", "b", F.greatest("d", "ca", "cb").alias("w")), work))
+    least = _grid(rows, block_rows).groupBy("lo", "hi").applyInPandas(_cell_cores(nth), f"key {kind}, d double")
+    core = least.groupBy("key").agg(F.sort_array(F.collect_list("d")).alias("d")).where(F.size("d") >= nth)
+    core = work.save(core.select("key", F.element_at("d", nth).alias("core")))
+    edges = _grid(work.save(rows.join(core, "key")), block_rows).groupBy("lo", "hi").applyInPandas(_cell_forest, f"a {kind}, b {kind}, w double")
+    if max_distance is not None:
+        edges = edges.where(F.col("w") <= max_distance)
+    forest = work.save(minimum_spanning_forest(work.save(edges), work))
     roots = star_components(forest.select(F.col("a").alias("u"), F.col("b").alias("v")), work)
     trees = forest.join(roots.withColumnRenamed("x", "a"), "a").select("root", "a", "b", "w")
-    kind = vectors.schema[key].dataType.simpleString()
 
     def tree(frame: pd.DataFrame) -> pd.DataFrame:
-        if len(frame) >= max_component:
-            raise ValueError(f"a component of more than {max_component} points; lower max_distance")
+        if max_component is not None and len(frame) >= max_component:
+            raise ValueError(f"a component of more than {max_component} points; give a max_distance")
         labels = condense(frame, sorted(set(frame["a"]) | set(frame["b"])), min_size)
         return pd.DataFrame({"key": list(labels), "cluster_id": list(labels.values())}) if labels else pd.DataFrame({"key": frame["a"].iloc[:0], "cluster_id": frame["a"].iloc[:0]})
 

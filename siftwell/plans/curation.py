@@ -50,7 +50,7 @@ def dbscan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hdbscan(spark: SparkSession, d: str) -> DataFrame:
-    return density.hdbscan(_embeddings(spark, d), "vec_id", "embedding", max_distance=1.1)
+    return density.hdbscan(_embeddings(spark, d), "vec_id", "embedding")
 
 
 def _sign_hashes(spark: SparkSession, d: str) -> DataFrame:

@@ -153,6 +153,34 @@ def test_dbscan_and_hdbscan(spark):
     assert len({got[i] for i in range(12)} - {None}) >= 1 and not {got[i] for i in range(12)} & ({got[i] for i in range(12, 21)} - {None})
 
 
+def test_hdbscan_spans_all_pairs(spark, tiny):
+    import pandas as pd
+
+    from siftwell.plans import curation
+
+    rows = spark.read.parquet(f"{tiny}/embeddings.parquet").orderBy("vec_id").toPandas()
+    ids, x = rows["vec_id"].tolist(), np.stack(rows["embedding"]).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    d = np.sqrt(np.maximum(2 - 2 * x @ x.T, 0))
+    np.fill_diagonal(d, np.inf)
+    core = d.min(axis=1)
+    w = np.maximum(d, np.maximum(core[:, None], core[None]))
+    inside, edges, reach, source = [0], [], w[0].copy(), np.zeros(len(x), int)
+    while len(inside) < len(x):
+        reach[inside] = np.inf
+        j = int(reach.argmin())
+        edges.append((ids[min(j, source[j])], ids[max(j, source[j])], reach[j]))
+        inside.append(j)
+        nearer = w[j] < reach
+        reach[nearer], source[nearer] = w[j][nearer], j
+    want = density.condense(pd.DataFrame(edges, columns=["a", "b", "w"]), ids, 2)
+    got = {r["vec_id"]: r["cluster_id"] for r in curation.hdbscan(spark, tiny).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == want and len(got) == len(ids)
+    frame = spark.read.parquet(f"{tiny}/embeddings.parquet")
+    blocks = {r["vec_id"]: r["cluster_id"] for r in density.hdbscan(frame, "vec_id", "embedding", block_rows=150).collect()}
+    assert blocks == got
+
+
 def test_spanning_forest(spark):
     from siftwell.runtime import Workspace
 
