@@ -197,12 +197,17 @@ class FingerprintHistory:
     """Accepted records on disk: their vectors, and their block tables.
 
     ``process(batch)`` gives the cases of a batch and appends the others; of the history only the block
-    tables are read, and the vectors of verified candidates.
+    tables are read, and the vectors of verified candidates. A new object over an existing path goes on
+    where the last one ended.
     """
 
     def __init__(self, spark: SparkSession, path: str, order: str = "arrived", least: float = 0.9):
         self.spark, self.path, self.order, self.least = spark, path.rstrip("/"), order, least
-        self.filled = False
+        self.filled = self._exists("blocks")
+
+    def _exists(self, name: str) -> bool:
+        parts = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/part-*")
+        return len(parts.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(parts) or []) > 0
 
     def _stored(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")

@@ -169,6 +169,15 @@ def test_batches_equal_one_pass(spark, tmp_path):
     assert found == {r["arrived"] for r in history.vector_repeats(frame(spark, x)).collect()}
 
 
+def test_reopened_history_goes_on(spark, tmp_path):
+    x = np.random.default_rng(21).normal(size=(4, 64)).astype(np.float32)
+    path = f"file://{tmp_path}/history"
+    assert history.FingerprintHistory(spark, path).process(frame(spark, x, range(4))).count() == 0
+    again = history.FingerprintHistory(spark, path).process(frame(spark, x[:3], range(4, 7)))
+    assert {r["arrived"] for r in again.collect()} == {4, 5, 6}
+    assert spark.read.parquet(f"{path}/vectors").count() == 4
+
+
 def test_only_earlier_accepted_records_count(spark):
     turn = lambda a: [float(np.cos(np.radians(a))), float(np.sin(np.radians(a))), *[0.0] * 62]
     got = {r["arrived"] for r in history.vector_repeats(frame(spark, [turn(0), turn(20), turn(40), turn(60)])).collect()}
