@@ -84,8 +84,8 @@ def optics_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pacmap_embedding(spark: SparkSession, d: str) -> DataFrame:
-    """Ten dimensions of the vectors of one label, with shortened phases."""
-    return reduction.reduce_vectors(_embeddings(spark, d).where("label = 3"), "vec_id", "embedding", phases=(30, 30, 60), snapshots=(30, 60))
+    """Ten dimensions of all vectors, with snapshots at eight steps."""
+    return reduction.reduce_vectors(_embeddings(spark, d), "vec_id", "embedding", snapshots=(100, 200, 300, 400, 500, 600, 700, 800))
 
 
 def sample_plus_seeds(spark: SparkSession, d: str) -> DataFrame:

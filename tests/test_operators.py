@@ -209,6 +209,14 @@ def test_optics(spark):
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: None}
 
 
+def test_embedding_of_all_vectors(spark, tiny):
+    from siftwell.plans import curation
+
+    found = curation.pacmap_embedding(spark, tiny).groupBy("step").count().collect()
+    rows = spark.read.parquet(f"{tiny}/embeddings.parquet").count()
+    assert {r["step"]: r["count"] for r in found} == dict.fromkeys([None, *range(100, 900, 100)], rows)
+
+
 def test_reduction_keeps_neighbours(spark):
     rng = np.random.default_rng(6)
     x = np.vstack([c + 0.1 * rng.normal(size=(20, 20)) for c in 5 * rng.normal(size=(4, 20))])
