@@ -80,9 +80,46 @@ def test_rule(spark, model):
     assert got == [["de", "en"], ["de", "en"], ["en"], ["en", "fr"], ["fr"], ["en"], [], [], [], ["de"]]
 
 
-def test_scraps_bring_in_no_language(spark, model):
-    got = langs(spark, model, f"den Abständen 62519 und ...\n\n{EN}", f"{EN} Explique ...", "Kein Bild da.", f"{EN}\n\nKupuzurk vectors ...")
-    assert got[0] == got[1] == got[3] == ["en"] and len(got[2]) == 1
+def test_cut_off_scraps_bring_in_no_language(spark, model):
+    got = langs(spark, model, f"den Abständen 62519 und ...\n\n{EN}", f"{EN} Explique ...", "Kein Bild da.", f"{EN}\n\nKupuzurk vectors ...", f"{EN}\n\nden Abständen 62519 und die Größe der Gruppe bleibt bei allen …")
+    assert got == [["en"], ["en"], ["de"], ["en"], ["en"]]
+
+
+def test_short_paragraphs_count(spark, model):
+    got = langs(spark, model, f"{EN}\n\nDas ist ein kurzer Absatz.", f"{EN}\n\nNiemand hat die Datei.\n\n{EN}", f"{EN} Das ist ein Bild. Das war ein Fehler. {EN}", f"{EN}\n\nOk.")
+    assert got == [["de", "en"], ["de", "en"], ["de", "en"], ["en"]]
+
+
+def test_confidence_is_that_of_the_language_given(model):
+    found = L.sentences("We moved the largest file of the whole group. Ja. Nobody could explain why it was kept.")
+    shares = model.shares([s.text for s in found])
+    shares[1] = 0.0
+    shares[1, L.LANGUAGES.index("de")] = 0.55
+    shares[1, L.LANGUAGES.index("en")] = 0.05
+    (run,) = L.segment_runs(found, shares, {}, 0.9)
+    letters = np.array([len(s.text) for s in found])
+    assert L.LANGUAGES[run.language] == "en" and run.sure == 2
+    assert run.confidence == pytest.approx((shares[:, L.LANGUAGES.index("en")] * letters).sum() / letters.sum())
+
+
+def test_ambiguous_texts_are_flagged(spark, model):
+    df = spark.createDataFrame([(1, EN, "en"), (2, "Ok.", "en"), (3, None, "en")], "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: (r["ambiguous"], r["confidence"]) for r in L.document_languages(df, model).collect()}
+    assert not got[1][0] and got[1][1] > 0.95 and got[2][0] and got[3] == (False, 0.0)
+    assert {r["doc_id"]: r["ambiguous"] for r in L.language_segments(df, model).collect()} == {1: False, 2: True}
+
+
+def test_long_mark_up_is_no_text(spark, model):
+    link = "<a href=\"" + "https://a.example/" + "das/ist/ein/bild/" * 400 + "\">"
+    assert langs(spark, model, f"{EN} {link} {EN}") == [["en"]]
+
+
+def test_fit_takes_long_texts_and_other_languages(spark):
+    rows = [(i, (EN if i % 2 else DE) + " " + (EN if i % 2 else DE) * 200, "en" if i % 2 else "de") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = L.fit_on_documents(df, languages=("de", "en"))
+    assert model.languages == ("de", "en")
+    assert [r["langs"] for r in L.document_languages(df, model).orderBy("doc_id").collect()] == [["de"], ["en"]] * 4
 
 
 def test_mislabelled(spark, model):
