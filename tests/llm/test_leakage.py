@@ -100,5 +100,36 @@ def test_tables(spark):
     got = sorted((r["doc_id"], r["item_id"]) for r in leaked_items(documents, items).collect())
     assert got == [(1, 7), (1, 7), (4, 7)]
     assert leaked_items(documents, items.limit(0)).count() == 0 and leaked_items(documents.limit(0), items).count() == 0
-    with pytest.raises(ValueError):
-        leaked_items(documents, items, max_items=1)
+    more = items.unionByName(spark.createDataFrame([(10, ITEM + " encore", "s"), (11, ITEM.upper(), "s")], items.schema))
+    whole, parts = (sorted(map(tuple, leaked_items(documents, more, part_bytes=n).collect())) for n in (1 << 20, 100))
+    assert whole == parts and {r[1] for r in whole} == {7, 10, 11}
+
+
+@pytest.mark.parametrize("length", [250, 310, 5000, 300_000])
+def test_mark_up_of_any_length(length):
+    for mark in ("<a href=\"%s\">", "<!-- %s -->", "[x](%s)", "[x](%s \"a title\")", "[x](a_(%s)_b)"):
+        text = " ".join(WORDS[:7]) + " " + (mark % ("y" * length)).replace("[x]", "[" + WORDS[7] + "]") + " " + " ".join(WORDS[8 if "[x]" in mark else 7 : 14])
+        assert index().find(text)[7][0] >= 13, (mark, length)
+    assert 7 in index().find(" ".join(WORDS[:6]) + "[" + "1" * length + "] " + " ".join(WORDS[6:13]))
+    assert 7 in index().find(ITEM.replace("é", "&#" + "0" * length + "233;").replace("garde", "garde&#" + "9" * length + ";"))
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<!-- ", "](", "[x](a ", "&amp;", "&#1", "a(b(", "[1", "\u202e"])
+def test_broken_mark_up_takes_linear_time(piece):
+    text = piece * 100_000 + " " + ITEM
+    assert len(unmark(text)) == len(text)
+    assert index().find(piece * 100_000) == {}
+
+
+JA = "この絵では重複の隣で座っている猫が古い索引を灰色の縮小画像の組に移した。"
+
+
+def test_scripts_without_spaces():
+    held = ItemIndex([(1, JA), (2, "短い文"), (3, "GIF版の" + JA[:30] + " and some words")], 12)
+    assert held.find("前置き" + JA[3:27] + "後書き")[1][0] == 12  # 24 characters are twelve words
+    assert 1 not in held.find("前置き" + JA[3:26] + "後書き")
+    assert 1 in held.find("前\n".join(["x", JA[4:16] + "\n" + JA[16:29]]))
+    text = "x。" + JA
+    words, start, end = held.find(text)[1]
+    assert text[start:end] == JA[:-1]
+    assert 3 in held.find("gif版の" + JA[:30] + "and")
