@@ -38,6 +38,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return history.repeats_of_tables(read_table(spark, d, "point_metadata"), read_table(spark, d, "wrong_ext"))
 
 
+def p4_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of p4_found from stored histories that take one delivered batch after the other."""
+    folder = Workspace(spark, "stored").root
+    return history.repeats_by_batch(read_table(spark, d, "point_metadata"), read_table(spark, d, "wrong_ext"), folder)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     work = Workspace(spark, "points")
     numbers = _point_numbers(read_table(spark, d, "point_metadata"), work)
@@ -157,6 +163,7 @@ FROM m LEFT JOIN tags USING (cluster_id) GROUP BY m.cluster_id
 QUERIES = {
     "p2_found": p2_found,
     "p4_found": p4_found,
+    "p4_batches": p4_batches,
     "p5_found": p5_found,
     "p5_sizes": p5_sizes,
     "p6_found": p6_found,

@@ -19,6 +19,14 @@ def point_vectors(points: DataFrame, dim: int = 64) -> DataFrame:
     return good.groupBy("id").agg(F.min("idx").alias("arrived"), F.first("vec").alias("vec"))
 
 
+def point_batches(points: DataFrame, dim: int = 64) -> DataFrame:
+    """point_vectors with batch_no, the batch that brought the smallest idx."""
+    vec = F.col("text_info.text_vector")
+    good = points.where("id is not null").select("id", "idx", "batch_no", vec.alias("vec")).where(usable(F.col("vec"), dim))
+    first = good.groupBy("id").agg(F.min(F.struct("idx", "batch_no")).alias("f"), F.first("vec").alias("vec"))
+    return first.select("id", F.col("f.idx").alias("arrived"), F.col("f.batch_no").alias("batch_no"), "vec")
+
+
 def first_of_copies(vectors: DataFrame, order: str) -> DataFrame:
     """(order, vec): of records with equal numbers only that with the least ``order``; combined before the shuffle."""
     return vectors.groupBy("vec").agg(F.min(order).alias(order)).select(order, "vec")

@@ -162,9 +162,9 @@ def test_repeats_against_brute_force(spark):
 
 
 def test_batches_equal_one_pass(spark, tmp_path):
-    x = chained(240, seed=9)
-    store, found = history.FingerprintHistory(spark, f"file://{tmp_path}/history"), set()
-    for at in np.array_split(np.arange(240), 4):
+    x = chained(150, seed=9)
+    store, found = history.FingerprintHistory(spark, f"file://{tmp_path}/history", buckets=4), set()
+    for at in np.array_split(np.arange(150), 3):
         found |= {r["arrived"] for r in store.process(frame(spark, x[at], at)).collect()}
     assert found == {r["arrived"] for r in history.vector_repeats(frame(spark, x)).collect()}
 
@@ -172,12 +172,63 @@ def test_batches_equal_one_pass(spark, tmp_path):
 def test_reopened_history_goes_on(spark, tmp_path):
     x = np.random.default_rng(21).normal(size=(4, 64)).astype(np.float32)
     path = f"file://{tmp_path}/history"
-    assert history.FingerprintHistory(spark, path).process(frame(spark, x, range(4))).count() == 0
-    again = history.FingerprintHistory(spark, path).process(frame(spark, x[:3], range(4, 7)))
+    assert history.FingerprintHistory(spark, path, buckets=4).process(frame(spark, x, range(4))).count() == 0
+    again = history.FingerprintHistory(spark, path, buckets=4).process(frame(spark, x[:3], range(4, 7)))
     assert {r["arrived"] for r in again.collect()} == {4, 5, 6}
     assert spark.read.parquet(f"{path}/vectors").count() == 4
 
 
+def test_a_late_record_with_a_smaller_key_meets_the_history(spark, tmp_path):
+    x = np.random.default_rng(22).normal(size=(3, 64)).astype(np.float32)
+    store = history.FingerprintHistory(spark, f"file://{tmp_path}/late", buckets=4)
+    assert store.process(frame(spark, x, [100, 101, 102])).count() == 0
+    assert {r["arrived"] for r in store.process(frame(spark, x[:2] * 2, [1, 2])).collect()} == {1, 2}
+
+
+def test_uncommitted_rows_are_not_read(spark, tmp_path):
+    x = np.random.default_rng(23).normal(size=(3, 64)).astype(np.float32)
+    path = f"file://{tmp_path}/broken"
+    store = history.FingerprintHistory(spark, path, buckets=4)
+    store.vectors.append(frame(spark, x), "lost")  # a job that failed before its commit
+    store.blocks.append(history.block_rows(history.fingerprints(frame(spark, x)), "arrived"), "lost")
+    again = history.FingerprintHistory(spark, path, buckets=4)
+    assert again.process(frame(spark, x)).count() == 0
+    assert {r["arrived"] for r in again.process(frame(spark, x, range(5, 8))).collect()} == {5, 6, 7}
+
+
+def test_blocks_widen_with_the_history(spark, tmp_path):
+    x = chained(90, seed=10)
+    path, found = f"file://{tmp_path}/wide", set()
+    for at in np.array_split(np.arange(90), 3):
+        store = history.FingerprintHistory(spark, path, load=0.002, buckets=4)
+        found |= {r["arrived"] for r in store.process(frame(spark, x[at], at)).collect()}
+    assert found == {r["arrived"] for r in history.vector_repeats(frame(spark, x)).collect()}
+    assert store.plan.bits > 12 and store.plan.tables > 30
+    assert history.block_plan(10**9).words * 64 >= history.block_plan(10**9).tables * history.block_plan(10**9).bits
+
+
+def test_stored_blocks_are_not_shuffled(spark, tmp_path):
+    store = history.FingerprintHistory(spark, f"file://{tmp_path}/plan", buckets=4)
+    x = np.random.default_rng(24).normal(size=(50, 64)).astype(np.float32)
+    store.process(frame(spark, x))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = history.block_rows(history.fingerprints(frame(spark, x)), "arrived")
+        pairs = history.block_matches(store.blocks.read(store.commits.batches()), new, "arrived", 100, ordered=False)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("hashpartitioning(block") == 1  # that of the new batch
+
+
+def test_tables_by_batch_equal_one_pass(spark, tmp_path):
+    from siftwell.runtime import read_table
+
+    points, wrong = (read_table(spark, "/root/testdata/sf0.001", t).withColumn("batch_no", F.ceil(F.col("batch_no") / 6).cast("int")) for t in ("point_metadata", "wrong_ext"))
+    got = {tuple(r) for r in history.repeats_by_batch(points, wrong, f"file://{tmp_path}/all").collect()}
+    assert got == {tuple(r) for r in history.repeats_of_tables(points, wrong).collect()} and len(got) > 10
+
+
 def test_only_earlier_accepted_records_count(spark):
     turn = lambda a: [float(np.cos(np.radians(a))), float(np.sin(np.radians(a))), *[0.0] * 62]
     got = {r["arrived"] for r in history.vector_repeats(frame(spark, [turn(0), turn(20), turn(40), turn(60)])).collect()}
@@ -201,6 +252,14 @@ def test_path_repeats(spark):
     assert {r["row_id"] for r in history.path_repeats(df).collect()} == {2, 9}
 
 
+def test_path_history(spark, tmp_path):
+    df = lambda rows: spark.createDataFrame(rows, "row_id bigint, batch_no int, path string")
+    store = lambda: history.PathHistory(spark, f"file://{tmp_path}/paths", buckets=4)
+    assert {r["row_id"] for r in store().process(df([(1, 1, "a/x"), (2, 1, "./a/x"), (3, 1, None), (4, 1, "b")])).collect()} == {2}
+    assert {r["row_id"] for r in store().process(df([(0, 2, "a//x"), (5, 2, "a/X"), (6, 2, "a/X")])).collect()} == {0, 6}
+    assert store().process(df([])).count() == 0
+
+
 def test_hamming_limit_keeps_near_pairs(spark):
     rng = np.random.default_rng(11)
     a = rng.normal(size=(400, 64))
