@@ -9,6 +9,10 @@ from siftwell.functions.tags import plain_tags
 from siftwell.runtime import Workspace
 
 
+#: First items of a basket whose pairs one task enumerates.
+STRETCH = 256
+
+
 def current_records(points: DataFrame, *columns: str) -> DataFrame:
     """The current record of each point: latest updated_at, ties by the greater idx."""
     held = F.max_by(F.struct(*columns), F.struct("updated_at", "idx"))
@@ -23,7 +27,8 @@ def collapse_baskets(records: DataFrame, items: str) -> DataFrame:
 def pair_statistics(baskets: DataFrame, work: Workspace | None = None) -> DataFrame:
     """(tag_a, tag_b, n_ab, n_a, n_b, n, lift, conviction) of all pairs with tag_a < tag_b.
 
-    Pairs are enumerated once per distinct basket and weighted; item counts come from the same baskets.
+    Pairs are enumerated once per distinct basket and weighted; item counts come from the same baskets. The
+    pairs of a wide basket are enumerated by several tasks, each for a stretch of its first items.
     conviction is that of a => b, NULL where it is unbounded. Baskets of one item count in n only.
     Empty input gives an empty result.
     """
@@ -31,18 +36,24 @@ def pair_statistics(baskets: DataFrame, work: Workspace | None = None) -> DataFr
     kept = work.save(baskets)
     n = kept.agg(F.sum("weight")).first()[0] or 0
     single = kept.select(F.explode("items").alias("tag"), "weight").groupBy("tag").agg(F.sum("weight").alias("k"))
-    at = kept.select("items", "weight", F.posexplode("items").alias("i", "tag_a"))
-    pairs = at.select("tag_a", F.explode(F.expr("slice(items, i + 2, size(items))")).alias("tag_b"), "weight")
+    narrow = kept.where(F.size("items") <= STRETCH).select("items", "weight", F.lit(0).alias("stretch"))
+    wide = kept.where(F.size("items") > STRETCH)
+    wide = wide.select("items", "weight", F.explode(F.sequence(F.lit(0), F.floor((F.size("items") - 1) / STRETCH).cast("int"))).alias("stretch"))
+    parts = narrow.unionByName(wide.repartition("items", "stretch"))
+    own = F.posexplode(F.slice("items", F.col("stretch") * STRETCH + 1, F.lit(STRETCH))).alias("i", "tag_a")
+    at = parts.select("items", "weight", "stretch", own)
+    pairs = at.select("tag_a", F.explode(F.expr(f"slice(items, stretch * {STRETCH} + i + 2, size(items))")).alias("tag_b"), "weight")
     counts = pairs.groupBy("tag_a", "tag_b").agg(F.sum("weight").alias("n_ab"))
     full = counts.join(single.select(F.col("tag").alias("tag_a"), F.col("k").alias("n_a")), "tag_a").join(
         single.select(F.col("tag").alias("tag_b"), F.col("k").alias("n_b")), "tag_b"
     )
     total = F.lit(n).cast("bigint")
     missed = F.col("n_a") - F.col("n_ab")
+    double = lambda c: F.col(c).cast("double")
     return full.select(
         "tag_a", "tag_b", "n_ab", "n_a", "n_b", total.alias("n"),
-        F.round(F.col("n_ab") * total / (F.col("n_a") * F.col("n_b")), 6).alias("lift"),
-        F.when(missed > 0, F.round(F.col("n_a") * (1 - F.col("n_b") / total) / missed, 6)).alias("conviction"),
+        F.round(double("n_ab") * total / (double("n_a") * double("n_b")), 6).alias("lift"),
+        F.when(missed > 0, F.round(double("n_a") * (1 - F.col("n_b") / total) / missed, 6)).alias("conviction"),
     )
 
 

@@ -69,37 +69,74 @@ class Pattern:
 
 
 class ExactComplement:
-    """Combinations of one, two or three available lengths with a given sum."""
+    """Tables of the sums of one, two and three lengths, each sum with the combination that has the longest length.
+
+    Availability only falls, so a sum that no combination has left stays without one; an entry whose lengths
+    are used up is replaced when it is asked for.
+    """
 
     def __init__(self, counts: np.ndarray):
-        self.counts = counts
+        self.counts, top = counts, len(counts)
+        self.sizes = np.flatnonzero(counts > 0)
+        self.pair = np.zeros(top, np.int32)  # the longer length of a pair with this sum, 0 for none
+        for a in self.sizes.tolist():
+            b = self.sizes[: np.searchsorted(self.sizes, min(a, top - 1 - a), side="right")]
+            if len(b) and b[-1] == a and counts[a] < 2:
+                b = b[:-1]
+            self.pair[a + b] = a
+        self.triple = np.zeros(top, np.int32)  # the length that a pair adds to
+        reachable = self.pair > 0
+        for a in self.sizes[::-1].tolist():
+            rest, held = reachable[: top - a], self.triple[a:]
+            open_ = rest & (held == 0)
+            held[open_] = a
+            if not open_.any() and (self.triple > 0).all():
+                break
 
     def find(self, gap: int) -> list[int] | None:
-        counts = self.counts
-        if gap < len(counts) and counts[gap] > 0:
+        """One, two or three available lengths with this sum, as few as can be."""
+        if gap < len(self.counts) and self.counts[gap] > 0:
             return [gap]
-        sizes = np.flatnonzero(counts[: gap + 1] > 0)
-        pair = self._pair(gap, sizes)
-        if pair:
-            return pair
-        for a in sizes[::-1].tolist():
-            if a * 3 < gap:  # the longest of three has a third of the sum at least
-                break
-            counts[a] -= 1
-            rest = self._pair(gap - a, sizes[sizes <= a])
-            counts[a] += 1
-            if rest:
-                return [a, *rest]
+        return self._pair(gap) or self._triple(gap)
+
+    def _left(self, lengths: list[int]) -> bool:
+        return all(self.counts[x] >= lengths.count(x) for x in lengths)
+
+    def _pairs(self, total: int) -> np.ndarray:
+        """Longer lengths of all pairs with this sum that are available, rising."""
+        a = self.sizes[(self.sizes * 2 >= total) & (self.sizes < total)]
+        b = total - a
+        return a[(self.counts[a] > 0) & (self.counts[b] > np.where(a == b, 1, 0))]
+
+    def _pair(self, total: int) -> list[int] | None:
+        a = int(self.pair[total]) if total < len(self.pair) else 0
+        if a and not self._left([a, total - a]):
+            found = self._pairs(total)
+            a = self.pair[total] = int(found[-1]) if len(found) else 0
+        return [a, total - a] if a else None
+
+    def _with(self, a: int, rest: int) -> list[int] | None:
+        """[a, ...] with an available pair of sum ``rest`` besides one a."""
+        pair = self._pair(rest)
+        if pair is None or self._left([a, *pair]):
+            return pair and [a, *pair]
+        for b in self._pairs(rest)[::-1].tolist():  # the pair shares the only a
+            if self._left([a, b, rest - b]):
+                return [a, b, rest - b]
         return None
 
-    def _pair(self, total: int, sizes: np.ndarray) -> list[int] | None:
-        a = sizes[(sizes * 2 >= total) & (sizes < total)]
-        if not len(a):
+    def _triple(self, total: int) -> list[int] | None:
+        a = int(self.triple[total]) if total < len(self.triple) else 0
+        if not a:
             return None
-        b = total - a
-        fits = (self.counts[a] > 0) & (self.counts[b] > np.where(a == b, 1, 0))
-        hit = np.flatnonzero(fits)
-        return [int(a[hit[-1]]), int(b[hit[-1]])] if len(hit) else None
+        found = self._with(a, total - a) if self.counts[a] > 0 else None
+        if found is None:
+            self.sizes = self.sizes[self.counts[self.sizes] > 0]
+            able = self.sizes[self.sizes < total]
+            able = able[self.pair[total - able] > 0]
+            found = next(filter(None, (self._with(a, total - a) for a in able[::-1].tolist())), None)
+            self.triple[total] = found[0] if found else 0
+        return found
 
 
 def plan_patterns(histogram: dict[int, int], capacity: int) -> list[Pattern]:
@@ -200,11 +237,9 @@ def pack(lengths: DataFrame, capacity: int, work: Workspace | None = None) -> Da
     return placed.unionByName(weightless)
 
 
-def pack_documents(documents: DataFrame, specs: DataFrame, tokenizer_path: str = TOKENIZER_PATH, max_specs: int = 100) -> DataFrame:
-    """(spec_id, capacity, container_no, doc_id, piece_no, size) for every capacity of ``specs``."""
-    wanted = specs.where("capacity > 0").select("spec_id", "capacity").distinct().orderBy("spec_id", "capacity").limit(max_specs + 1).collect()
-    if len(wanted) > max_specs:
-        raise ValueError(f"more than {max_specs} capacities")
+def pack_documents(documents: DataFrame, specs: DataFrame, tokenizer_path: str = TOKENIZER_PATH) -> DataFrame:
+    """(spec_id, capacity, container_no, doc_id, piece_no, size) for every capacity of ``specs``, one plan each."""
+    wanted = specs.where("capacity > 0").select("spec_id", "capacity").distinct().orderBy("spec_id", "capacity").collect()
     spark = documents.sparkSession
     work = Workspace(spark, "packing")
     lengths = work.save(token_counts(documents, tokenizer_path))

@@ -2,18 +2,20 @@
 
 Which of two values of a field is the newer one is known where both rows carry a time. Where a time is
 missing it is reasoned out: transitions between values seen in timestamped histories give precedences
-(a before b, if seen more often than b before a), the values of a group are put in the partial order
-these span, and a value that no other value of the group supersedes is taken as the latest.
+(a before b, if seen more often than b before a). Their transitive closure, with cycles broken at the
+weakest votes, orders the values of every group in part, and the topologically latest one is taken.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.ids import canonical_uuid
 from siftwell.functions.tags import plain_tags
 from siftwell.llm.cooccurrence import current_records
+from siftwell.operators.components import star_components
 from siftwell.runtime import Workspace
 
 FIELDS = ("height", "width", "size")
@@ -41,10 +43,13 @@ def learn_precedence(history: DataFrame, entity: str = "id", time: str = "update
     frequent ones cancel, so the relation has no cycles of two.
     """
     rows = _long_fields(positive_fields(history.where(F.col(entity).isNotNull() & F.col(time).isNotNull())), entity, time)
-    # one row per entity, field and time: a hot entity is combined before the window
-    rows = rows.groupBy(entity, "field", time).agg(F.max("value").alias("value"))
-    step = Window.partitionBy(entity, "field").orderBy(time)
-    moves = rows.withColumn("older", F.lag("value").over(step)).where("older is not null and older <> value")
+    # one row per entity, field and time, in windows of a day, so that a hot entity is spread over tasks
+    rows = rows.groupBy(entity, "field", F.date_trunc("day", time).alias("_day"), F.col(time).alias("_at")).agg(F.max("value").alias("value"))
+    within = Window.partitionBy(entity, "field", "_day").orderBy("_at")
+    inside = rows.select("field", F.lag("value").over(within).alias("older"), "value")
+    days = rows.groupBy(entity, "field", "_day").agg(F.min_by("value", "_at").alias("value"), F.max_by("value", "_at").alias("last"))
+    over = days.select("field", F.lag("last").over(Window.partitionBy(entity, "field").orderBy("_day")).alias("older"), "value")
+    moves = inside.unionByName(over).where("older is not null and older <> value")
     signed = moves.groupBy(
         "field", F.least("older", "value").alias("lo"), F.greatest("older", "value").alias("hi")
     ).agg(F.sum(F.when(F.col("older") < F.col("value"), 1).otherwise(-1)).alias("net"))
@@ -57,28 +62,104 @@ def learn_precedence(history: DataFrame, entity: str = "id", time: str = "update
     )
 
 
-def currency_rank(values: DataFrame, precedence: DataFrame, group: str) -> DataFrame:
-    """(group, field, value, superseded): votes that some other value of the group is newer.
-
-    The pairs compared are those of the learned relation that lie inside one group, found by joining the
-    group's values to the relation and back, so nothing is paired that no transition connects.
+def _strong_components(nodes: list, out: dict) -> list[list]:
+    """Strongly connected components of a graph (node -> successors), by Tarjan's algorithm without recursion."""
+    number, low, stack, on, found = {}, {}, [], set(), []
+    for root in nodes:
+        if root in number:
+            continue
+        work = [(root, iter(out.get(root, ())))]
+        number[root] = low[root] = len(number)
+        stack.append(root)
+        on.add(root)
+        while work:
+            node, following = work[-1]
+            for nxt in following:
+                if nxt not in number:
+                    number[nxt] = low[nxt] = len(number)
+                    stack.append(nxt)
+                    on.add(nxt)
+                    work.append((nxt, iter(out.get(nxt, ()))))
+                    break
+                if nxt in on:
+                    low[node] = min(low[node], number[nxt])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[node])
+                if low[node] == number[node]:
+                    part = []
+                    while not part or part[-1] != node:
+                        part.append(stack.pop())
+                        on.discard(part[-1])
+                    found.append(part)
+    return found
+
+
+def order_values(edges: list[tuple[int, int, int]]) -> dict[int, int]:
+    """value -> length of the longest chain of precedences (older, newer, votes) that leads to it.
+
+    Cycles are broken first: within each strongly connected part the edges of the fewest votes go, until no
+    part is left. Edges outside of cycles all stay, so a value comes after everything it follows directly or
+    through others.
+    """
+    kept, open_ = [], edges
+    while open_:
+        out: dict = {}
+        for a, b, _ in open_:
+            out.setdefault(a, []).append(b)
+        nodes = sorted({x for a, b, _ in open_ for x in (a, b)})
+        part = {x: k for k, xs in enumerate(_strong_components(nodes, out)) for x in xs}
+        kept += [e for e in open_ if part[e[0]] != part[e[1]]]
+        inner = [e for e in open_ if part[e[0]] == part[e[1]]]
+        weakest: dict = {}
+        for a, _, votes in inner:
+            weakest[part[a]] = min(votes, weakest.get(part[a], votes))
+        open_ = [e for e in inner if e[2] > weakest[part[e[0]]]]
+    level: dict = {x: 0 for a, b, _ in edges for x in (a, b)}
+    out, before = {}, dict.fromkeys(level, 0)
+    for a, b, _ in kept:
+        out.setdefault(a, []).append(b)
+        before[b] += 1
+    ready = [x for x, n in before.items() if n == 0]
+    while ready:
+        a = ready.pop()
+        for b in out.get(a, ()):
+            level[b] = max(level[b], level[a] + 1)
+            before[b] -= 1
+            if before[b] == 0:
+                ready.append(b)
+    return level
+
+
+def currency_levels(precedence: DataFrame, work: Workspace) -> DataFrame:
+    """(field, value, level): a value has a higher level than all that precede it, directly or through others.
+
+    Values that no chain of transitions connects are ordered apart, each connected part of a field's relation
+    in one task: it holds one row per pair of values, however many records showed it.
     """
-    here = values.select(group, "field", "value").distinct()
-    later = precedence.select("field", F.col("older").alias("value"), "newer", "votes")
-    other = here.select(group, "field", F.col("value").alias("newer"))
-    beaten = here.join(later, ["field", "value"]).join(other, [group, "field", "newer"])
-    return beaten.groupBy(group, "field", "value").agg(F.sum("votes").alias("superseded"))
+    node = lambda c: F.struct("field", F.col(c).alias("value"))
+    held = work.save(precedence.select("field", "older", "newer", "votes"))
+    roots = work.save(star_components(held.select(node("older").alias("u"), node("newer").alias("v")), work))
+    named = held.withColumn("x", node("older")).join(roots, "x").select("root", "field", "older", "newer", "votes")
+
+    def rank(frame: pd.DataFrame) -> pd.DataFrame:
+        levels = order_values(list(zip(frame["older"].tolist(), frame["newer"].tolist(), frame["votes"].tolist())))
+        return pd.DataFrame({"field": frame["field"].iloc[0], "value": list(levels), "level": list(levels.values())})
+
+    return named.groupBy("root").applyInPandas(rank, "field string, value bigint, level bigint")
 
 
-def latest_values(members: DataFrame, precedence: DataFrame, group: str, order: list[Column]) -> DataFrame:
-    """(group, field, value): the best value of each field by ``order``, a list of ascending merits.
+def latest_values(members: DataFrame, levels: DataFrame, group: str) -> DataFrame:
+    """(group, field, value): the value of the most trusted, then latest, then topologically latest row, then of the greatest id.
 
-    ``superseded`` may be used in the order: the votes against a value by currency reasoning, 0 where
-    the learned relation knows nothing. The choice is a maximum of a struct, combined before the shuffle.
+    ``members`` has trust, at and id; where ``at`` is NULL the level decides, 0 for values of which nothing is
+    learned. A row with a time goes before one without. A value that many groups share is a join skew on
+    the side of the members, which adaptive execution splits; the choice is combined before the shuffle.
     """
-    rows = members.join(currency_rank(members, precedence, group), [group, "field", "value"], "left")
-    rows = rows.withColumn("superseded", F.coalesce("superseded", F.lit(0)))
-    return rows.groupBy(group, "field").agg(F.max_by("value", F.struct(*order)).alias("value"))
+    rows = members.join(levels, ["field", "value"], "left")
+    level = F.when(F.col("at").isNull(), F.coalesce("level", F.lit(0)))
+    return rows.groupBy(group, "field").agg(F.max_by("value", F.struct("trust", "at", level, "id")).alias("value"))
 
 
 def _members(clusters: DataFrame, points: DataFrame, writers: DataFrame) -> DataFrame:
@@ -108,7 +189,7 @@ def cluster_survivors(clusters: DataFrame, points: DataFrame, writers: DataFrame
 
     Each field takes the positive value of the most trusted writer, then the latest, then that of the
     greatest id; -1 if there is none. Latest is the later updated_at; among members without a time, or
-    for all if ``use_times`` is false, it is the value that the fewest learned transitions supersede. A
+    for all if ``use_times`` is false, it is the value that comes last in the order learned from transitions. A
     member with a time goes before one without. keep_id has the largest size (NULL or not positive is 0,
     ties to the greatest id); categories are all plain tags, sorted and joined by '|', '' if none.
     """
@@ -116,11 +197,5 @@ def cluster_survivors(clusters: DataFrame, points: DataFrame, writers: DataFrame
     members = work.save(_members(clusters, points, writers))
     time = F.col("updated_at") if use_times else F.lit(None).cast("timestamp")
     values = _long_fields(members.withColumn("at", time), "cluster_id", "id", "trust", "at")
-    timeless = values.where("at is null")
-    order = [F.col("trust"), F.col("at"), F.when(F.col("at").isNull(), -F.col("superseded")), F.col("id")]
-    if timeless.isEmpty():
-        fields = values.groupBy("cluster_id", "field").agg(F.max_by("value", F.struct("trust", "at", "id")).alias("value"))
-    else:
-        precedence = work.save(learn_precedence(points))
-        fields = latest_values(values, precedence, "cluster_id", order)
-    return _assemble(members, fields)
+    levels = currency_levels(learn_precedence(points), work)
+    return _assemble(members, latest_values(values, levels, "cluster_id"))

@@ -107,3 +107,25 @@ def test_same_vocabulary_in_two_formats():
     a, b = (packing.load_counter(f"{TOKENIZERS}/byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
     texts = ["It's 12 cats,  and\n\nmore …", "größe 猫猫 🙂", "x" * 300]
     assert a(texts) == b(texts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), max_size=10), st.lists(st.integers(1, 70), max_size=12))
+def test_complements_against_brute_force(histogram, gaps):
+    import itertools
+
+    import numpy as np
+
+    counts = np.zeros(71, np.int64)
+    for length, n in histogram.items():
+        counts[length] = n
+    index = packing.ExactComplement(counts)
+    for gap in gaps:
+        pieces = [x for x in range(71) for _ in range(counts[x])]
+        fewest = next((k for k in (1, 2, 3) if any(sum(c) == gap for c in itertools.combinations(pieces, k))), None)
+        found = index.find(gap)
+        assert (found is None) == (fewest is None)
+        if found:
+            assert len(found) == fewest and sum(found) == gap and not Counter(found) - Counter(pieces)
+            for x in found:
+                counts[x] -= 1

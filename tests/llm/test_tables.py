@@ -4,6 +4,8 @@ import datetime as dt
 import itertools
 from collections import Counter
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siftwell.llm import cooccurrence, survivors
@@ -108,3 +110,57 @@ def test_precedence_chain_and_opposites(spark):
 def test_survivors_empty(spark):
     assert survive(spark, [], []) == {}
     assert survive(spark, [(1, P)], []) == {}
+
+
+def test_chains_through_values_outside_the_group(spark):
+    history = []
+    for i in range(9):  # 1 turns into 2, elsewhere 2 into 3
+        for k, (a, b) in enumerate([(1, 2), (2, 3)]):
+            history += [(i, f"h{k}{i}", None, 1, None, a, None, None, None), (i + 10, f"h{k}{i}", None, 2, None, b, None, None, None)]
+    for first, second in ((1, 3), (3, 1)):
+        rows = [*history, (50, P, None, None, None, first, None, None, "good"), (51, Q, None, None, None, second, None, None, "good")]
+        assert survive(spark, [(1, P), (1, Q)], rows)[1][1] == 3
+    # a value the learned order knows nothing of does not go before a known latest one, trust goes before all
+    rows = [*history, (50, P, None, None, None, 3, None, None, "bad"), (51, Q, None, None, None, 1, None, None, "good")]
+    assert survive(spark, [(1, P), (1, Q)], rows)[1][1] == 1
+
+
+def test_transitions_within_and_between_days(spark):
+    at = lambda d, h: dt.datetime(2024, 1, d, h, tzinfo=UTC)
+    steps = [(at(1, 1), 5), (at(1, 7), 6), (at(1, 9), 6), (at(3, 0), 7), (at(3, 5), 8), (at(9, 1), 9)]
+    rows = spark.createDataFrame([("a", t, v, None, None, None) for t, v in steps], "id string, updated_at timestamp, height bigint, width bigint, weight bigint, size bigint")
+    assert {tuple(r)[1:3] for r in survivors.learn_precedence(rows).collect()} == {(5, 6), (6, 7), (7, 8), (8, 9)}
+
+
+def test_order_of_values_breaks_cycles_at_the_weakest_votes():
+    level = survivors.order_values([(1, 2, 5), (2, 3, 4), (3, 1, 1)])
+    assert level[1] < level[2] < level[3]
+    # what leads into a cycle comes before it, however weak its votes
+    level = survivors.order_values([(9, 1, 1), (1, 2, 5), (2, 3, 4), (3, 1, 2), (3, 8, 1)])
+    assert level[9] < level[1] < level[2] < level[3] < level[8]
+    assert survivors.order_values([]) == {}
+    level = survivors.order_values([(i, i + 1, 1) for i in range(20_000)])
+    assert level[20_000] == 20_000
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.tuples(st.integers(0, 7), st.integers(0, 7)).filter(lambda p: p[0] != p[1]), st.integers(1, 4), max_size=16))
+def test_order_of_values_against_closure(votes):
+    level = survivors.order_values([(a, b, n) for (a, b), n in votes.items()])
+    reach = set(votes)
+    for k, a, b in itertools.product(range(8), repeat=3):
+        if (a, k) in reach and (k, b) in reach:
+            reach.add((a, b))
+    for a, b in votes:
+        if (b, a) not in reach:  # on no cycle
+            assert level[a] < level[b]
+
+
+def test_wide_baskets_and_large_weights(spark):
+    wide = spark.range(1).select(F.transform(F.sequence(F.lit(1000), F.lit(1699)), lambda x: x.cast("string")).alias("items"), F.lit(4_000_000_000).alias("weight"))
+    rows = cooccurrence.pair_statistics(wide.unionByName(wide.select(F.slice("items", 1, 2).alias("items"), F.lit(6_000_000_000).alias("weight"))))
+    assert rows.count() == 700 * 699 // 2 and rows.select("tag_a", "tag_b").distinct().count() == 700 * 699 // 2
+    assert rows.where("tag_a >= tag_b").count() == 0
+    row = rows.where("tag_a = '1000' and tag_b = '1001'").first()
+    assert (row["n_ab"], row["n_a"], row["n"], row["lift"]) == (10**10, 10**10, 10**10, 1.0)
+    assert cooccurrence.frequent_pairs(rows, least_lift=1).count() == 700 * 699 // 2
