@@ -16,6 +16,7 @@ def star_components(edges: DataFrame, work: Workspace | None = None) -> DataFram
     """
     work = work or Workspace(edges.sparkSession, "components")
     current, before, first = edges.select("u", "v"), None, True
+    seen = {"rows": F.count(F.lit(1)), "mark": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -23,12 +24,12 @@ def star_components(edges: DataFrame, work: Workspace | None = None) -> DataFram
         low = large.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y"))
         low_min = low.groupBy("x").agg(F.min("y").alias("m"))
         small = low.join(low_min, "x").select("m", F.explode(F.array("x", "y")).alias("v")).where("v <> m")
-        after = work.save(small.select(F.col("m").alias("u"), "v").distinct())
-        mark = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        after = work.save(small.select(F.col("m").alias("u"), "v").distinct(), **seen)
+        mark = work.metric(after), work.metric(after, "mark")
         if not first:
             work.drop(current)
         current, first = after, False
-        if mark == before:
+        if mark == before or not mark[0]:
             break
         before = mark
     child = current.select(F.col("v").alias("x"), F.col("u").alias("root"))

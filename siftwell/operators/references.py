@@ -13,24 +13,29 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.ids import canonical_uuid
 from siftwell.functions.paths import plain_path
+from siftwell.runtime import Workspace
 
 LEDGER_KEY = ["kind", "key"]
 
+#: Referring tables and columns.
+REFERENCE_COLUMNS = [
+    ("point_source", "id"), ("point_source", "path"), ("clusters", "id"),
+    ("search_result", "query_id"), ("search_result", "neighbor_id"), ("wrong_ext", "path"),
+]
 
-def merge_ledger(state: DataFrame | None, deltas: DataFrame) -> DataFrame:
+
+def merge_ledger(state: DataFrame | None, deltas: DataFrame, counts: tuple[str, ...] = ("refs", "exists")) -> DataFrame:
     """New ledger (kind, key, refs, exists) from the old one and signed deltas of the same columns.
 
     Deltas may hold any number of rows a key; they are summed before the shuffle. NULL counts are 0,
-    NULL keys refer to nothing and are left out. Keys whose counts are both zero leave the ledger.
+    NULL keys refer to nothing and are left out. Keys whose ``counts`` are all zero leave the ledger.
     """
-    columns = [*LEDGER_KEY, "refs", "exists"]
+    columns = [*LEDGER_KEY, *counts]
     rows = deltas.select(*columns)
     if state is not None:
         rows = state.select(*columns).unionByName(rows)
     summed = rows.where("key is not null").groupBy(*LEDGER_KEY)
-    return summed.agg(
-        F.coalesce(F.sum("refs"), F.lit(0)).alias("refs"), F.coalesce(F.sum("exists"), F.lit(0)).alias("exists")
-    ).where("refs <> 0 or exists <> 0")
+    return summed.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts)).where(" or ".join(f"{c} <> 0" for c in counts))
 
 
 def ledger_orphans(state: DataFrame) -> DataFrame:
@@ -140,7 +145,7 @@ def orphan_references(references: DataFrame, timelines: DataFrame) -> DataFrame:
         .when(F.exists(past, lambda e: e["sign"] > 0), F.lit("deleted"))
         .otherwise(F.lit("late"))
     )
-    month = F.date_format(F.to_utc_timestamp("t", F.current_timezone()), "yyyy-MM")
+    month = _month("t")
     return (
         joined.select(
             "ref_table", "ref_column", "ref_row", reason.alias("reason"), month.alias("period")
@@ -150,6 +155,42 @@ def orphan_references(references: DataFrame, timelines: DataFrame) -> DataFrame:
     )
 
 
+def _month(at: str) -> Column:
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM")
+
+
+def ledger_by_period(references: DataFrame, timelines: DataFrame) -> DataFrame:
+    """(ref_table, ref_column, period, keys, refs): the orphan keys at the end of every month with references, and the references to them.
+
+    The ledger is maintained: each month's signed deltas, summed per key, are merged into the state that the
+    months before have left, and the orphans of the new state are reported. Repeated deliveries of a reference
+    count once. Of the data the driver holds the months only; states are written tables.
+    """
+    work = Workspace(references.sparkSession, "ledger")
+    names = tuple(f"refs_{i}" for i in range(len(REFERENCE_COLUMNS)))
+    counts = ("exists", *names)
+    made = references.dropDuplicates(["ref_table", "ref_column", "ref_row"]).withColumn("period", _month("t"))
+    of = [F.when((F.col("ref_table") == t) & (F.col("ref_column") == c), 1).otherwise(0).alias(n) for n, (t, c) in zip(names, REFERENCE_COLUMNS)]
+    made = made.select(*LEDGER_KEY, "period", F.lit(0).alias("exists"), *of)
+    live = timelines.select(*LEDGER_KEY, F.explode("timeline").alias("e")).select(*LEDGER_KEY, _month("e.at").alias("period"), F.col("e.sign").alias("exists"), *(F.lit(0).alias(n) for n in names))
+    deltas = made.unionByName(live).groupBy(*LEDGER_KEY, "period").agg(*(F.sum(c).alias(c) for c in counts))
+    deltas = work.save(deltas, "period")
+    months = [r[0] for r in deltas.where(" or ".join(f"{n} <> 0" for n in names)).select("period").distinct().orderBy("period").collect()]
+    state, before, out = None, "", None
+    for month in months:
+        batch = deltas.where((F.col("period") > before) & (F.col("period") <= month))
+        after = work.save(merge_ledger(state, batch, counts))
+        work.drop(state)
+        state, before = after, month
+        orphans = state.where("exists <= 0").agg(*(f(n) for n in names for f in (lambda n: F.count(F.when(F.col(n) > 0, 1)).alias("k" + n), lambda n: F.sum(n).alias(n))))
+        lines = F.array(*(F.struct(F.lit(t).alias("ref_table"), F.lit(c).alias("ref_column"), F.lit(month).alias("period"), F.col("k" + n).alias("keys"), F.col(n).alias("refs")) for n, (t, c) in zip(names, REFERENCE_COLUMNS)))
+        report = work.save(orphans.select(F.explode(lines).alias("line")).select("line.*").where("keys > 0"))
+        out = report if out is None else out.unionByName(report)
+    if out is None:
+        return references.sparkSession.createDataFrame([], "ref_table string, ref_column string, period string, keys bigint, refs bigint")
+    return out
+
+
 def orphan_report(orphans: DataFrame) -> DataFrame:
     """Number of orphan references per table, column, reason and month."""
     return orphans.groupBy("ref_table", "ref_column", "period", "reason").agg(F.count("*").alias("n"))

@@ -27,6 +27,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return refs.orphan_references(_all_references(spark, d), _timelines(spark, d))
 
 
+def p1_method(spark: SparkSession, d: str) -> DataFrame:
+    """Orphan keys of the ledger after each month's deltas, and the references to them, per table and column."""
+    return refs.ledger_by_period(_all_references(spark, d), _timelines(spark, d))
+
+
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     """Orphan references counted per table, column, month and reason."""
     return refs.orphan_report(p1_found(spark, d))
@@ -115,13 +120,29 @@ SELECT kind, key, count(*) AS refs FROM refs ANTI JOIN alive USING (kind, key) W
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_method": p1_method,
     "p1_report": p1_report,
     "p1_current": p1_current,
     "p3_found": p3_found,
     "p3_summary": p3_summary,
 }
+_P1_METHOD = f"""
+WITH {_REFS}, {_LIVES},
+r AS (SELECT *, strftime(t AT TIME ZONE 'UTC', '%Y-%m') AS period FROM refs WHERE key IS NOT NULL AND t IS NOT NULL),
+months AS (SELECT DISTINCT period FROM r),
+stay AS (SELECT 'point' AS kind, key, born AS moment, 1 AS sign FROM pts WHERE born IS NOT NULL
+  UNION ALL SELECT 'point', key, died, -1 FROM pts WHERE died IS NOT NULL
+  UNION ALL SELECT 'object', key, taken_at, 1 FROM seqs
+  UNION ALL SELECT 'object', key, s.taken_at, -1 FROM seqs q JOIN snaps s ON s.seq = q.seq + 1),
+ex AS (SELECT kind, key, strftime(moment AT TIME ZONE 'UTC', '%Y-%m') AS period, sum(sign) AS n FROM stay GROUP BY ALL),
+held AS (SELECT m.period, kind, key, ref_table, ref_column, count(*) AS refs FROM months m JOIN r ON r.period <= m.period GROUP BY ALL),
+live AS (SELECT m.period, kind, key, sum(n) AS n FROM months m JOIN ex ON ex.period <= m.period GROUP BY ALL)
+SELECT ref_table, ref_column, period, count(*) AS keys, sum(refs)::BIGINT AS refs
+FROM held LEFT JOIN live USING (period, kind, key) WHERE coalesce(n, 0) <= 0 GROUP BY 1, 2, 3
+"""
 ORACLES = {
     "p1_found": _P1,
+    "p1_method": _P1_METHOD,
     "p1_report": f"SELECT ref_table, ref_column, period, reason, count(*) AS n FROM ({_P1}) GROUP BY 1, 2, 3, 4",
     "p1_current": _P1_CURRENT,
     "p3_found": _P3,

@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -36,9 +36,12 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one is set only where none is named."""
+    """The shared folder named by the session; a temporary one only where none is named and all runs on this machine."""
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"name a folder that all executors share in {CHECKPOINT_KEY}")
         root = "file://" + tempfile.mkdtemp(prefix="siftwell-")
         spark.conf.set(CHECKPOINT_KEY, root)
     return root.rstrip("/")
@@ -48,7 +51,8 @@ class Workspace:
     """Written intermediate tables in the shared checkpoint folder.
 
     A saved table survives the loss of executors and cuts the lineage of iterative jobs. Tables
-    that a later one replaces are dropped at once; the rest go when the driver's process ends.
+    that a later one replaces are dropped at once; the rest go at the end of a ``with`` block, or else when
+    the driver's process ends.
     """
 
     def __init__(self, spark: SparkSession, label: str = "work"):
@@ -57,17 +61,34 @@ class Workspace:
         self._count = 0
         atexit.register(self.clear)
 
-    def save(self, df: DataFrame, *partition_by: str) -> DataFrame:
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.clear()
+        atexit.unregister(self.clear)
+
+    def save(self, df: DataFrame, *partition_by: str, **metrics: Column) -> DataFrame:
+        """The table as written; ``metrics`` (name=aggregate) are taken in the same job, see ``metric``."""
         self._count += 1
         path = f"{self.root}/{self._count:04d}"
+        seen = Observation() if metrics else None
+        if seen is not None:
+            df = df.observe(seen, *(c.alias(name) for name, c in metrics.items()))
         writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._siftwell_path = path
+        out._siftwell_metrics = seen.get if seen is not None else {}
         return out
 
+    @staticmethod
+    def metric(table: DataFrame, name: str = "rows"):
+        """A metric of a saved table; a task that ran twice may have counted twice."""
+        return table._siftwell_metrics[name]
+
     def drop(self, *tables: DataFrame | None) -> None:
         for table in tables:
             path = getattr(table, "_siftwell_path", None)
