@@ -139,19 +139,19 @@ def verified(pairs: DataFrame, earlier: DataFrame, later: DataFrame, key: str, l
 
 
 def resolve_in_order(edges: DataFrame, work: Workspace) -> DataFrame:
-    """(later): the records that match an earlier record which is itself not a case; ``edges`` is a saved table.
+    """(later): the records that match an earlier record which is itself not a case; ``edges`` is a saved table with its number of rows.
 
     Each round accepts the records without an undecided earlier match, marks what they match as cases and
     drops all edges of these; at least the earliest undecided record is settled in every round.
     """
-    left = edges
+    left, number = edges, F.count(F.lit(1))  # taken in the job that writes
     cases: DataFrame | None = None
-    while not left.isEmpty():
+    while work.metric(left):
         accepted = left.select("earlier").distinct().join(left.select(F.col("later").alias("earlier")), "earlier", "left_anti")
         hit = work.save(left.join(accepted, "earlier", "left_semi").select("later").distinct())
         cases = hit if cases is None else cases.unionByName(hit)
         after = left.join(hit, "later", "left_anti").join(hit.withColumnRenamed("later", "earlier"), "earlier", "left_anti")
-        after = work.save(after.select("earlier", "later"))
+        after = work.save(after.select("earlier", "later"), rows=number)
         if left is not edges:
             work.drop(left)
         left = after
@@ -185,21 +185,22 @@ def cases_in_order(prints: DataFrame, key: str, least: float, work: Workspace, p
     result is that of taking one record after the other.
     """
     limit = hamming_limit(least)
-    edges = work.save(verified(leader_pairs(prints, key), prints, prints, key, least))
+    number = F.count(F.lit(1))
+    edges = work.save(verified(leader_pairs(prints, key), prints, prints, key, least), rows=number)
     cases = work.save(resolve_in_order(edges, work))
     seen = fresh = work.save(prints.join(cases.withColumnRenamed("later", key), key, "left_anti"))
     first = True
     while True:
         new, held = block_rows(fresh, key, plan), block_rows(seen, key, plan)
         pairs = block_matches(new, new, key, limit) if first else block_matches(held, new, key, limit).unionByName(block_matches(new, held, key, limit)).distinct()
-        more = work.save(verified(pairs, prints, prints, key, least))
-        if more.isEmpty():
+        more = work.save(verified(pairs, prints, prints, key, least), rows=number)
+        if not work.metric(more):
             return cases
-        edges, first = work.save(edges.unionByName(more)), False
+        edges, first = work.save(edges.unionByName(more), rows=number), False
         cases = work.save(resolve_in_order(edges, work))
         accepted = prints.join(cases.withColumnRenamed("later", key), key, "left_anti")
-        fresh = work.save(accepted.join(seen.select(key), key, "left_anti"))
-        if fresh.isEmpty():
+        fresh = work.save(accepted.join(seen.select(key), key, "left_anti"), rows=number)
+        if not work.metric(fresh):
             return cases
         seen = seen.unionByName(fresh)
 

@@ -64,20 +64,21 @@ def match_groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     spark = pairs.sparkSession
     work = Workspace(spark, "groups")
-    edges = start = work.save(undirected_edges(pairs, a, b))
+    number = F.count(F.lit(1))  # taken in the job that writes
+    edges = start = work.save(undirected_edges(pairs, a, b), rows=number)
     attached: DataFrame | None = None
     salt = 0
-    while True:
-        gone = work.save(_independent(_light_vertices(edges), salt))
-        if gone.isEmpty():
+    while work.metric(edges):
+        gone = work.save(_independent(_light_vertices(edges), salt), rows=number)
+        if not work.metric(gone):
             break
         link = gone.select("x", F.col("a").alias("parent"))
         attached = link if attached is None else attached.unionByName(link)
-        after = work.save(_contract(edges, gone))
+        after = work.save(_contract(edges, gone), rows=number)
         if edges is not start:
             work.drop(edges)
         edges, salt = after, salt + 1
-    roots = None if edges.isEmpty() else work.save(star_components(edges, work))
+    roots = None if not work.metric(edges) else work.save(star_components(edges, work))
     if attached is None:
         attached = start.select(F.col("u").alias("x"), F.col("v").alias("parent")).limit(0)
     pointers = work.save(attached)
