@@ -117,6 +117,27 @@ def _frames(data: bytes) -> list[np.ndarray]:
     return frames
 
 
+def encode_gif(frames: list[np.ndarray], palette: np.ndarray) -> bytes:
+    """A GIF of frames of palette indices; a clear code before every second pixel keeps the codes at one width."""
+    bits = max(2, int(len(palette) - 1).bit_length())
+    colours = np.zeros((1 << bits, 3), np.uint8)
+    colours[: len(palette)] = palette
+    height, width = frames[0].shape
+    size = width.to_bytes(2, "little") + height.to_bytes(2, "little")
+    out = [b"GIF89a", size, bytes([0x80 | (bits - 1), 0, 0]), colours.tobytes()]
+    for frame in frames:
+        index = frame.ravel().astype(np.int64)
+        codes = np.full((-(-len(index) // 2), 3), -1)
+        codes[:, 0] = 1 << bits
+        codes[:, 1] = index[0::2]
+        codes[: len(index) // 2, 2] = index[1::2]
+        stream = np.append(codes[codes >= 0], (1 << bits) + 1)
+        packed = np.packbits(((stream[:, None] >> np.arange(bits + 1)) & 1).ravel().astype(np.uint8), bitorder="little").tobytes()
+        blocks = b"".join(bytes([len(packed[i : i + 255])]) + packed[i : i + 255] for i in range(0, len(packed), 255))
+        out += [b"\x2c\0\0\0\0", size, b"\0", bytes([bits]), blocks, b"\0"]
+    return b"".join([*out, b"\x3b"])
+
+
 def _weights(source: int, target: int, kernel: Callable[[np.ndarray], np.ndarray], support: float) -> np.ndarray:
     scale = max(source / target, 1.0)
     centre = (np.arange(target) + 0.5) * source / target

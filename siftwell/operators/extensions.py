@@ -76,7 +76,7 @@ def payload_plan(wrong: DataFrame, prefix: str) -> DataFrame:
 
 def update_payload(points: DataFrame, plan: DataFrame) -> DataFrame:
     """Points (id, format, url, ...) with format and url of the plan where it has their id."""
-    new = plan.groupBy(F.col("point_id").alias("id")).agg(F.max_by(F.struct("format", "url"), "src").alias("new"))
+    new = plan.groupBy(F.col("point_id").alias("id")).agg(F.max_by(F.struct("format", "url"), F.struct("src", "format")).alias("new"))
     joined = points.join(new, "id", "left")
     return joined.withColumns({c: F.coalesce(F.col("new")[c], F.col(c)) for c in ("format", "url")}).drop("new")
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.functions import ids, paths, payload, tags, vectors
+from siftwell.functions import ids, images, paths, payload, tags, vectors
 from siftwell.functions.frames import sampled_frames
 from siftwell.functions.magic import detect_extension
 from siftwell.operators import clusters, complete_link, components, density, extensions, knn, reduction, similarity, triage
 from siftwell.plans.sql import path_sql, uuid_sql
-from siftwell.runtime import read_table
+from siftwell.runtime import Workspace, read_table
 from siftwell.sources import point_table
 
 #: Thresholds at which the embeddings table has a useful number of pairs; the operators default to 0.985 and 0.9.
@@ -258,11 +260,133 @@ def cluster_triage(spark: SparkSession, d: str) -> DataFrame:
     return triage.triage_clusters(_members(spark, d), _triage_points(spark, d))
 
 
+#: Two colours, and the pictures that the animations below are made of.
+_PALETTE = np.array([(20, 40, 60), (230, 200, 120)])
+
+
+def _picture(kind: int, step: int) -> np.ndarray:
+    """A 32 x 32 picture of stripes (0), checks (1) or a bar (2), moved by a step."""
+    y, x = np.mgrid[0:32, 0:32]
+    return [((x + 2 * step) // 4) % 2, ((x + 4 * step) // 8 + y // 8) % 2, ((x - 5 * step) % 32 < 6).astype(int)][kind]
+
+
+def _animation(kind: int, frames: int, moving: bool = True) -> bytes:
+    return images.encode_gif([_picture(kind, k if moving else 0) for k in range(frames)], _PALETTE)
+
+
+def _point_gifs(triaged: DataFrame) -> DataFrame:
+    """(id, content): the animation of every point up for GIF triage, which the tables have not.
+
+    The first character of the id says what it is: broken (0 to 3), one picture six times (4 to 7), moving
+    stripes (8 to b) or a moving bar (c to f).
+    """
+
+    @F.pandas_udf("binary")
+    def content(point: pd.Series) -> pd.Series:
+        made = [b"GIF89a", _animation(0, 6, moving=False), _animation(0, 6), _animation(2, 6)]
+        return point.map(lambda p: made[int(p[0], 16) // 4])
+
+    return triaged.where("action = 'gif_triage'").select("id").distinct().select("id", content("id").alias("content"))
+
+
 def _settled(spark: SparkSession, d: str) -> DataFrame:
-    """Triage with every GIF that has no readable frames, as none are in the tables."""
-    nothing = spark.createDataFrame([], "id string, status string, embedding array<float>")
-    points = _triage_points(spark, d)
-    return triage.settle_gifs(triage.triage_clusters(_members(spark, d), points), nothing, points)
+    work = Workspace(spark, "triage")
+    points = work.save(_triage_points(spark, d))
+    triaged = work.save(triage.triage_clusters(_members(spark, d), points))
+    gifs = work.save(images.embed_gifs(_point_gifs(triaged), "id"))
+    return work.save(triage.settle_gifs(triaged, gifs, points))
+
+
+def settled_gifs(spark: SparkSession, d: str) -> DataFrame:
+    """Every member of a cluster with its action, GIFs settled by decoding, hashing and embedding their frames."""
+    return _settled(spark, d)
+
+
+def _vector_gifs(spark: SparkSession, d: str) -> DataFrame:
+    """(vec_id, content): an animation of one to seven frames for every vector, cut off where its label is 0."""
+
+    @F.pandas_udf("binary")
+    def content(point: pd.Series, label: pd.Series) -> pd.Series:
+        made = [_animation(1, n) for n in range(1, 8)]
+        return pd.Series([made[p % 7][: None if x else 60] for p, x in zip(point, label)])
+
+    return _embeddings(spark, d).select("vec_id", content("vec_id", "label").alias("content"))
+
+
+def gif_frame_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Frames and frame hashes of animations, and whether the data are broken."""
+    rows = images.gif_frames(_vector_gifs(spark, d))
+    return rows.select("vec_id", "n_frames", F.size(F.array_distinct("hashes")).alias("pictures"), F.col("error").isNotNull().alias("broken"))
+
+
+def gif_status(spark: SparkSession, d: str) -> DataFrame:
+    """How each animation is settled, and the length of its embedding."""
+    rows = images.embed_gifs(_vector_gifs(spark, d), "vec_id")
+    status = F.when(F.col("status").isin("ok", "same_frame"), F.col("status")).otherwise(F.lit("error"))
+    return rows.select(F.col("id").alias("vec_id"), status.alias("status"), F.round(vectors.norm(F.col("embedding")), 3).alias("length"))
+
+
+def image_hashes(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes of the perceptual hash of each vector drawn as a picture, and whether the picture at twice the brightness has the same."""
+    tall = F.flatten(F.transform("embedding", lambda x: F.array_repeat(F.when(x > 0, 120).otherwise(40), 16)))
+    rows = _embeddings(spark, d).select("vec_id", tall.alias("grey"))
+
+    def pictures(times: int) -> DataFrame:
+        @F.pandas_udf("binary")
+        def data(values: pd.Series) -> pd.Series:
+            return pd.Series([(np.asarray(v, np.uint8).reshape(8, 8, 4, 4).transpose(0, 2, 1, 3).reshape(32, 32) * times).astype(np.uint8).tobytes() for v in values])
+
+        image = F.struct(F.lit(32).alias("height"), F.lit(32).alias("width"), F.lit(1).alias("nChannels"), data("grey").alias("data"))
+        return images.image_hash(rows.select("vec_id", image.alias("image")), key="vec_id").select(F.col("key").alias("vec_id"), F.col("hash").alias(f"h{times}"))
+
+    both = pictures(1).join(pictures(2), "vec_id")
+    return both.select("vec_id", F.length("h1").alias("bytes"), (F.col("h1") == F.col("h2")).alias("same"))
+
+
+def stored_points(spark: SparkSession, d: str) -> DataFrame:
+    """A saved table of vectors opened again with metadata, extensions and URI prefixes: what it holds for each id."""
+    path = Workspace(spark, "stored").root + "/points"
+    rows = _embeddings(spark, d).select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("vec"), "vec_id", "label")
+    point_table.PointTable.builder(64).rows(rows, "vec_id").build(spark).save(path)
+    ext = rows.where("label <> 2").select("id", F.lit("png").alias("ext"))
+    table = point_table.PointTable.builder(64).path(path).metadata(rows.select("id", "label")).ext(ext).uri_prefix("web", "https://files.example.invalid/a/").build(spark)
+    asked = rows.where("label < 5").select("id").unionByName(spark.createDataFrame([("nobody",)], "id string"))
+    labels = point_table.must_match(table.rows.select("id", "idx"), table.metadata.withColumn("at", F.col("label")), "id", "at", "label")
+    out = labels.join(table.uris("web"), "id").join(table.contains(asked), "id", "left")
+    return out.select("id", "idx", "label", "uri", F.coalesce("found", F.lit(False)).alias("asked"))
+
+
+def point_lookups(spark: SparkSession, d: str) -> DataFrame:
+    """Single look-ups of a table: size, emptiness, index to id, id to index, first coordinate, similarity with itself."""
+    rows = _embeddings(spark, d).select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("vec"), "vec_id")
+    table = point_table.PointTable.builder(64).rows(rows, "vec_id").build(spark)
+    first = table.index_to_id(0)
+    held = (len(table), table.is_empty(), first, table.id_to_index(first), round(float(table.vector(first)[0]), 5), round(table.similarity(first, first), 6), table.id_to_index("nobody") is None, len(table.clear()))
+    return spark.createDataFrame([held], "n bigint, empty boolean, first string, at bigint, x double, self double, unknown boolean, cleared bigint")
+
+
+def index_search(spark: SparkSession, d: str) -> DataFrame:
+    """A saved index, opened again, with the vectors of one label replaced: the three nearest of each vector of another."""
+    path = Workspace(spark, "index").root + "/index"
+    rows = _embeddings(spark, d)
+    index = knn.KnnIndex.load_or_build(spark, path, lambda: rows.select("vec_id", "embedding"), key="vec_id", vec="embedding", metric="cosine")
+    index = index.insert(rows.where("label = 1").select("vec_id", F.reverse("embedding").alias("embedding")))
+    found = index.search_batch(rows.where("label = 3").select("vec_id", "embedding"), k=3)
+    return found.select("query_id", "neighbor_id", "rank", F.round("distance", 6).alias("distance"))
+
+
+def payload_updates(spark: SparkSession, d: str) -> DataFrame:
+    """Points with the format and address of their corrected files put into their payload."""
+    plan = payload_plan(spark, d)
+    points = plan.select(F.col("point_id").alias("id")).distinct().withColumn("format", F.lit("unknown")).withColumn("url", F.lit(None).cast("string"))
+    return extensions.update_payload(points, plan)
+
+
+def optics_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """OPTICS over the set of all neighbours."""
+    rows = _sign_hashes(spark, d)
+    chosen = knn_neighbour_set(spark, d).withColumnRenamed("neighbor_id", "vec_id")
+    return density.optics(rows.join(chosen, "vec_id", "left_semi"), "vec_id", "hash", eps=20, metric="hamming_bits")
 
 
 def final_classification(spark: SparkSession, d: str) -> DataFrame:
@@ -420,7 +544,12 @@ triaged AS (SELECT m.cluster_id, m.id, CASE WHEN kept THEN 'kept_text' WHEN all_
       WHEN has_gif THEN CASE WHEN ext = 'gif' THEN 'gif_triage' ELSE 'other_delete' END
       WHEN m.id = largest THEN 'kept_non_gif' ELSE 'other_delete' END AS action
     FROM marked m JOIN facts USING (cluster_id)),
-settled AS (SELECT cluster_id, id, CASE action WHEN 'gif_triage' THEN 'invalid_gif' ELSE action END AS action FROM triaged)
+moving AS (SELECT t.cluster_id, t.id, substr(t.id, 1, 1) IN ('8', '9', 'a', 'b') AS stripes, r.size FROM triaged t JOIN rows r USING (cluster_id, id)
+           WHERE action = 'gif_triage' AND substr(t.id, 1, 1) >= '8'),
+chosen AS (SELECT cluster_id, arg_max(id, (size, id)) AS id FROM moving GROUP BY cluster_id, stripes),
+settled AS (SELECT t.cluster_id, t.id, CASE WHEN action <> 'gif_triage' THEN action WHEN substr(t.id, 1, 1) < '4' THEN 'invalid_gif'
+    WHEN substr(t.id, 1, 1) < '8' THEN 'same_frame_gif' WHEN chosen.id IS NOT NULL THEN 'kept_gif' ELSE 'duplicate_gif' END AS action
+  FROM triaged t LEFT JOIN chosen ON chosen.cluster_id = t.cluster_id AND chosen.id = t.id)
 """
 _PLAIN_TAGS = "list_sort(list_distinct(list_filter(list_transform({c}, lambda t: trim(regexp_replace(lower(t), '[\\s_\\-]+', ' ', 'g'))), lambda t: t <> '')))"
 _TRANSFER = f"""{_TRIAGE},
@@ -456,6 +585,24 @@ SELECT vec_id, coalesce(lab.cluster_id, reach.near) AS cluster_id,
 FROM embeddings LEFT JOIN lab ON lab.x = vec_id LEFT JOIN reach ON reach.x = vec_id
 """
 
+_CHUNKED = f"""
+WITH RECURSIVE {_fold_sql('SELECT vec_id // 100 AS grp, vec_id AS key, embedding AS vec FROM embeddings', LINK)},
+cl AS (SELECT grp, part, row_number() OVER (ORDER BY grp, part) AS pos, count(*) AS n FROM part GROUP BY grp, part),
+m AS (SELECT cl.pos, cl.n, p.key, e.embedding AS vec FROM part p JOIN cl USING (grp, part) JOIN embeddings e ON e.vec_id = p.key),
+alike AS (SELECT a.pos, b.pos AS q FROM m a JOIN m b ON b.pos < a.pos
+          WHERE list_cosine_similarity(a.vec::DOUBLE[], b.vec::DOUBLE[]) > {LINK} GROUP BY a.pos, b.pos, a.n, b.n HAVING count(*) = a.n * b.n),
+near2 AS (SELECT cl.pos, coalesce(list(q) FILTER (WHERE q IS NOT NULL), []) AS h FROM cl LEFT JOIN alike USING (pos) GROUP BY 1),
+merge AS (
+  SELECT CAST(1 AS BIGINT) AS pos, [CAST(1 AS BIGINT)] AS lab
+  UNION ALL
+  SELECT f.pos + 1, list_append(f.lab, coalesce(
+    list_min(list_filter(list_distinct(f.lab), lambda c: len(list_filter(generate_series(1, f.pos), lambda q: f.lab[q] = c AND NOT list_contains(n.h, q))) = 0)),
+    list_max(f.lab) + 1))
+  FROM merge f JOIN near2 n ON n.pos = f.pos + 1),
+whole AS (SELECT arg_max(lab, pos) AS lab FROM merge)
+SELECT key AS vec_id, min(key) OVER (PARTITION BY whole.lab[m.pos]) AS cluster_id FROM m, whole
+"""
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -466,7 +613,8 @@ QUERIES = {
         filtered_paths, rename_plan, payload_plan, uri_for_points, payload_projection, frame_sampling, vector_store_changes,
         collection_counts, named_vector_scan, members_without_metadata, largest_member, cluster_member_lists, triage_counts,
         unit_vectors, mean_vectors, byte_distances, bytes_as_numbers, parsed_stems, chunk_sizes, ingest_names,
-        point_metadata, cluster_triage, final_classification, tag_transfer, points_after_transfer,
+        point_metadata, cluster_triage, final_classification, tag_transfer, points_after_transfer, settled_gifs, gif_frame_counts,
+        gif_status, image_hashes, stored_points, point_lookups, index_search, payload_updates, optics_neighbours,
     )
 }
 ORACLES = {
@@ -474,6 +622,7 @@ ORACLES = {
     "near_dup_pairs": f"WITH {_NEAR} SELECT a, b, round(similarity, 6) AS similarity FROM near WHERE similarity >= {EDGE}",
     "component_sizes": f"SELECT cluster_id, count(*) AS size FROM ({_COMPONENTS}) GROUP BY 1",
     "complete_link_clusters": f"WITH RECURSIVE {_fold_sql('SELECT label AS grp, vec_id AS key, embedding AS vec FROM embeddings', LINK)} SELECT key AS vec_id, min(key) OVER (PARTITION BY grp, part) AS cluster_id FROM part",
+    "chunked_complete_link": _CHUNKED,
     "dbscan": _DBSCAN,
     "hamming_knn": f"WITH {_SIGNS}, d AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, {_BITS} AS distance FROM signs a JOIN signs b ON a.vec_id <> b.vec_id) "
     "SELECT query_id, neighbor_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank, distance FROM d QUALIFY rank <= 20",
@@ -506,6 +655,8 @@ ORACLES = {
     "rename_plan": f"WITH {_WRONG} SELECT path AS src, string_split(path, '.')[1] || '.' || expected_ext AS dst FROM wrong WHERE (list_last(string_split(path, '.')), expected_ext) IN (('jpg', 'png'), ('png', 'jpg'))",
     "payload_plan": f"WITH {_WRONG}, s AS (SELECT *, {_STEM.format(p='path')} AS point_id FROM wrong WHERE path IS NOT NULL AND expected_ext IS NOT NULL) "
     "SELECT point_id, path AS src, point_id || '.' || expected_ext AS dst, expected_ext AS target_ext, expected_ext AS format, 'https://files.example.invalid/' || point_id || '.' || expected_ext AS url FROM s WHERE point_id <> ''",
+    "payload_updates": f"WITH {_WRONG}, s AS (SELECT *, {_STEM.format(p='path')} AS point_id FROM wrong WHERE path IS NOT NULL AND expected_ext IS NOT NULL) "
+    "SELECT point_id AS id, arg_max(expected_ext, (path, expected_ext)) AS format, arg_max('https://files.example.invalid/' || point_id || '.' || expected_ext, (path, expected_ext)) AS url FROM s WHERE point_id <> '' GROUP BY 1",
     "uri_for_points": f"WITH o AS (SELECT DISTINCT prefix_key, {path_sql('path')} AS path FROM object_listing WHERE mode = 'FILE' AND path IS NOT NULL), "
     f"n AS (SELECT path, prefix, list_last(string_split(path, '/')) AS name FROM o LEFT JOIN uri_prefixes USING (prefix_key)) "
     "SELECT path, CASE WHEN regexp_matches(prefix, '^[A-Za-z][A-Za-z0-9+.-]+:') THEN 'url' ELSE 'path' END AS kind, "
@@ -535,6 +686,14 @@ f AS (SELECT id, {_MAGIC.replace('h LIKE', 'hx LIKE').replace('substr(h,', 'subs
 SELECT id || '.jpg' AS src, '/store/' || concat_ws('-', h[1:8], h[9:12], '5' || h[14:16], substr('89ab', (instr('0123456789abcdef', h[17:17]) - 1) % 4 + 1, 1) || h[18:20], h[21:32]) || '.' || coalesce(found, 'jpg') AS dst,
   CASE WHEN found IS NULL THEN 'failed' ELSE 'copy' END AS action, CASE WHEN found <> 'jpg' THEN found END AS wrong_ext FROM f""",
     "cluster_triage": f"{_TRIAGE} SELECT cluster_id, id, action FROM triaged",
+    "settled_gifs": f"{_TRIAGE} SELECT cluster_id, id, action FROM settled",
+    "gif_frame_counts": "SELECT vec_id, CASE WHEN label <> 0 THEN (1 + vec_id % 7)::INTEGER END AS n_frames, CASE WHEN label <> 0 THEN least(1 + vec_id % 7, 4)::INTEGER END AS pictures, label = 0 AS broken FROM embeddings",
+    "gif_status": "SELECT vec_id, CASE WHEN label = 0 THEN 'error' WHEN vec_id % 7 = 0 THEN 'same_frame' ELSE 'ok' END AS status, CASE WHEN label <> 0 AND vec_id % 7 > 0 THEN 1.0::DOUBLE END AS length FROM embeddings",
+    "image_hashes": "SELECT vec_id, 32 AS bytes, TRUE AS same FROM embeddings",
+    "stored_points": "SELECT CAST(vec_id AS VARCHAR) AS id, row_number() OVER (ORDER BY vec_id) - 1 AS idx, label, CASE WHEN label <> 2 THEN 'https://files.example.invalid/a/' || vec_id || '.png' END AS uri, label < 5 AS asked FROM embeddings",
+    "point_lookups": "SELECT count(*) AS n, FALSE AS empty, CAST(min(vec_id) AS VARCHAR) AS first, 0::BIGINT AS at, round(arg_min(embedding[1]::DOUBLE, vec_id), 5) AS x, 1.0::DOUBLE AS self, TRUE AS unknown, 0::BIGINT AS cleared FROM embeddings",
+    "index_search": "WITH p AS (SELECT vec_id, CASE WHEN label = 1 THEN list_reverse(embedding) ELSE embedding END AS v FROM embeddings), d AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, 1 - list_cosine_similarity(a.embedding::DOUBLE[], b.v::DOUBLE[]) AS distance FROM embeddings a JOIN p b ON a.vec_id <> b.vec_id WHERE a.label = 3) "
+    "SELECT query_id, neighbor_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank, round(distance, 6) AS distance FROM d QUALIFY rank <= 3",
     "final_classification": f"{_TRIAGE} SELECT cluster_id, {_LISTS} FROM settled GROUP BY 1",
     "tag_transfer": f"{_TRANSFER} SELECT cluster_id, id, op, CASE WHEN tags IS NOT NULL THEN coalesce(list_aggregate(tags, 'string_agg', '|'), '') END AS categories FROM plan",
     "points_after_transfer": f"""{_TRANSFER},

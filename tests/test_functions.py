@@ -117,7 +117,17 @@ def test_frames_identical(spark):
     assert one(spark, same, "h array<binary>", [b"\x00", b"\x1f"]) is False
 
 
-@pytest.mark.parametrize("head,ext", [(b"\xff\xd8\xff\xe0", "jpg"), (b"\x89PNG\r\n\x1a\n", "png"), (b"GIF89a..", "gif"), (b"RIFF....WEBP", "webp"), (b"text", None), (b"", None)])
+@pytest.mark.parametrize(
+    "head,ext",
+    [
+        (b"\xff\xd8\xff\xe0", "jpg"), (b"\x89PNG\r\n\x1a\n", "png"), (b"GIF89a..", "gif"), (b"RIFF....WEBP", "webp"), (b"text", None), (b"", None),
+        (b"JUNK....WEBP", None), (b"RIFF....WAVE", "wav"), (b"RIFF....AVI LIST", "avi"),
+        (b"\0\0\0\x20ftypisom", "mp4"), (b"\0\0\0\x20ftypqt  ", "mov"), (b"\0\0\0\x20ftypheic", "heif"), (b"\0\0\0\x20ftypmif1\0\0\0\0mif1heic", "heif"),
+        (b"\0\0\0\x20ftypmif1\0\0\0\0mif1avif", "avif"), (b"\0\0\0\x20ftypavif", "avif"), (b"\0\0\0\x20ftypM4A ", "m4a"), (b"\0\0\0\x20ftypwhat", None),
+        (b"PK\x03\x04" + b"." * 26 + b"mimetypeapplication/epub+zip", "epub"), (b"PK\x03\x04" + b"." * 26 + b"[Content_Types].xml..word/document.xml", "docx"),
+        (b"PK\x03\x04" + b"." * 26 + b"[Content_Types].xml..xl/workbook.xml", "xlsx"), (b"PK\x03\x04" + b"." * 26 + b"word/notes.txt", "zip"),
+    ],
+)
 def test_magic(spark, head, ext):
     assert one(spark, detect_extension(F.col("b")), "b binary", head) == ext
 

@@ -48,6 +48,12 @@ def test_gif_pixels(interlaced):
     assert len(frames) == 2 and (frames[0][..., :3] == COLOURS[a]).all() and (frames[1][..., :3] == COLOURS[b]).all()
 
 
+def test_encoded_gifs_are_read_back():
+    a, b = grid(3, (7, 5)), grid(4, (7, 5))
+    frames = images.decode_gif(images.encode_gif([a, b], COLOURS))
+    assert (frames[0][..., :3] == COLOURS[a]).all() and (frames[1][..., :3] == COLOURS[b]).all()
+
+
 def test_gif_transparency_keeps_what_is_below():
     a, b = np.full((4, 4), 1), np.array([[0, 2, 0, 2]] * 4)
     frames = images.decode_gif(gif([a, b], transparent=0))

@@ -1,47 +1,67 @@
 """Every query with reference SQL gives the same rows on the smallest tables."""
 
-import os
-from collections import Counter
-
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from siftwell.plans import curation, integrity
+from tests.against_sql import compare, connect
 
-
-def norm(value):
-    if isinstance(value, float):
-        return round(value, 6)
-    if isinstance(value, (list, tuple)):
-        return tuple(map(norm, value))
-    return value
+QUERIES = {**curation.QUERIES, **integrity.QUERIES}
+ORACLES = {**curation.ORACLES, **integrity.ORACLES}
+#: What queries without SQL return: the columns and, in SQL, the number of rows.
+SHAPES = {
+    "hdbscan": ("vec_id cluster_id", "SELECT count(*) FROM embeddings"),
+    "optics_sample": ("vec_id position reachability cluster_id", "SELECT count(*) FILTER (WHERE label = 3) + least(200, count(*) FILTER (WHERE label <> 3)) FROM embeddings"),
+    "optics_neighbours": ("vec_id position reachability cluster_id", None),
+    "pacmap_embedding": ("vec_id step vec", "SELECT 9 * count(*) FROM embeddings"),
+}
 
 
 @pytest.fixture(scope="module")
 def duck(tiny):
-    con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
-    for name in os.listdir(tiny):
-        con.execute(f"CREATE VIEW {name.removesuffix('.parquet')} AS SELECT * FROM '{tiny}/{name}'")
-    return con
+    return connect(tiny)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, duck, tiny, name):
-    df = entry.queries()[name](spark, tiny)
-    columns = sorted(df.columns)
-    got = Counter(tuple(norm(r[c]) for c in columns) for r in df.collect())
-    result = duck.execute(entry.oracle_sql()[name])
-    names = [d[0] for d in result.description]
-    assert sorted(names) == columns
-    want = Counter(tuple(norm(r[names.index(c)]) for c in columns) for r in result.fetchall())
-    assert got == want
+    compare(QUERIES[name](spark, tiny), duck, ORACLES[name])
+
 
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_shape(spark, duck, tiny, name):
+    columns, rows = SHAPES[name]
+    df = QUERIES[name](spark, tiny)
+    got = df.collect()
+    assert df.columns == columns.split() and got
+    if rows:
+        assert len(got) == duck.execute(rows).fetchone()[0]
+    if name.startswith("optics"):
+        assert sorted(r["position"] for r in got) == list(range(len(got)))
+        assert len({r["vec_id"] for r in got}) == len(got)
+    if name == "pacmap_embedding":
+        assert all(len(r["vec"]) == 10 for r in got) and {r["step"] for r in got} == {None, *range(100, 900, 100)}
+    if name == "hdbscan":
+        assert all(r["cluster_id"] is None or r["cluster_id"] <= r["vec_id"] for r in got)
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
-def test_runs(spark, tiny, name):
-    assert entry.queries()[name](spark, tiny).count() >= 0
+
+def test_optics_takes_every_neighbour(spark, tiny):
+    points = {r["vec_id"] for r in QUERIES["optics_neighbours"](spark, tiny).collect()}
+    assert points == {r["neighbor_id"] for r in QUERIES["knn_neighbour_set"](spark, tiny).collect()}
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_does_without_the_subpackage(monkeypatch):
+    import importlib
+
+    whole = importlib.import_module
+
+    def broken(name, *rest):
+        if name.startswith("siftwell.llm"):
+            raise ImportError(name)
+        return whole(name, *rest)
+
+    monkeypatch.setattr(importlib, "import_module", broken)
+    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLES)

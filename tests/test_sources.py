@@ -153,3 +153,25 @@ def test_downloads(spark, tree):
 def test_store_settings():
     got = files.object_store_settings({"AWS_ACCESS_KEY_ID": "k", "AWS_ENDPOINT_URL": "http://e"})
     assert got == {"spark.hadoop.fs.s3a.access.key": "k", "spark.hadoop.fs.s3a.endpoint": "http://e", "spark.hadoop.fs.s3a.attempts.maximum": "20"}
+
+
+def test_workspace_scope_and_metrics(spark, monkeypatch):
+    import os
+
+    from siftwell import runtime
+
+    with runtime.Workspace(spark, "scope") as work:
+        held = work.save(spark.range(7), rows=F.count(F.lit(1)), top=F.max("id"))
+        assert (work.metric(held), work.metric(held, "top"), held.count()) == (7, 6, 7)
+        assert os.path.isdir(work.root.removeprefix("file:"))
+    assert not os.path.isdir(work.root.removeprefix("file:"))
+
+    class Far:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+    with pytest.raises(RuntimeError):
+        runtime.checkpoint_root(Far)
