@@ -1,8 +1,9 @@
 """Most similar vectors of every vector by shifted Hilbert curves.
 
 Vectors are projected to a few coordinates in several random rotations and shifts, and each is ordered
-along a Hilbert curve. Every curve is cut into ranges; a task holds a range and the window before and
-after it, compares every vector with its window, and keeps the best. The lists of all curves merge.
+along a Hilbert curve. Every curve is cut into ranges; a task goes along a range and the window before and
+after it, compares every vector with its window, and keeps the best. It holds some windows at a time, not the
+range. The lists of all curves merge.
 
 The projection is fitted on a bounded sample: it draws a vector towards the centres of the sample that
 are near it and keeps the principal directions, so that vectors of one topic lie close on most curves.
@@ -147,13 +148,44 @@ def _first_best(value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(above | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= k - above.sum(axis=1, keepdims=True))))
 
 
-def window_best(unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int, k: int, block: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hits(single: np.ndarray, unit: np.ndarray, rid: np.ndarray, s: int, e: int, lo: int, hi: int, k: int, bound: np.ndarray):
+    """(row, column, product) of the entries of rows s..e against lo..hi that may be among the k best, and the raised bound."""
+    groups = 4 * k
+    product = single[s:e] @ single[lo:hi].T
+    at = np.arange(max(s, lo), min(e, hi))
+    product[at - s, at - lo] = -2
+    width = (hi - lo) // groups
+    if width >= 2:
+        best = product[:, : width * groups].reshape(e - s, groups, width).max(axis=2)
+        bound = np.maximum(bound, np.partition(best, groups - k, axis=1)[:, groups - k])
+    elif hi - lo > k:
+        bound = np.maximum(bound, np.partition(product, hi - lo - k, axis=1)[:, hi - lo - k])
+    hit = product >= (bound - 2e-6)[:, None]
+    if np.count_nonzero(hit) <= 64 * k * (e - s):
+        row, col = np.nonzero(hit)
+    else:  # near-copies that single precision does not tell apart
+        by_rid, parts = np.argsort(rid[lo:hi]), []
+        for t in range(s, e, 64):
+            f = min(t + 64, e)
+            double = unit[t:f] @ unit[lo:hi].T
+            at = np.arange(max(t, lo), min(f, hi))
+            double[at - t, at - lo] = -2
+            r, c = _first_best(double[:, by_rid], k)
+            parts.append((r + t - s, by_rid[c]))
+        row, col = (np.concatenate(x) for x in zip(*parts))
+    return row + s, col + lo, product[row, col], bound
+
+
+def window_best(
+    unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int, k: int, block: int = 512, tile: int = 16_384
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, neighbour, cosine) of the k best of each own row among ``window`` rows before and after it.
 
     A lower bound of the k-th best comes from the maxima of column groups, so only few entries of each
-    product are looked at again, in double precision; equal cosines go by the smaller rid.
+    product are looked at again, in double precision; equal cosines go by the smaller rid. Products are of
+    ``block`` rows and ``tile`` columns at most, whatever the window.
     """
-    n, groups = len(unit), 4 * k
+    n = len(unit)
     single = unit.astype(np.float32)
     left, right, value = [], [], []
     mine = np.flatnonzero(own)
@@ -162,30 +194,13 @@ def window_best(unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int,
     for s in range(mine[0], mine[-1] + 1, block):
         e = min(s + block, mine[-1] + 1)
         lo, hi = max(0, s - window), min(n, e + window)
-        product = single[s:e] @ single[lo:hi].T
-        product[np.arange(e - s), np.arange(s, e) - lo] = -2
-        width = (hi - lo) // groups
-        if width >= 2:
-            best = product[:, : width * groups].reshape(e - s, groups, width).max(axis=2)
-            bound = np.partition(best, groups - k, axis=1)[:, groups - k]
-        elif hi - lo > k:
-            bound = np.partition(product, hi - lo - k, axis=1)[:, hi - lo - k]
-        else:
-            bound = np.full(e - s, -1.5, np.float32)
-        hit = product >= (bound - 2e-6)[:, None]
-        if np.count_nonzero(hit) <= 64 * k * (e - s):
-            row, col = np.nonzero(hit)
-        else:  # near-copies that single precision does not tell apart
-            by_rid, parts = np.argsort(rid[lo:hi]), []
-            for t in range(s, e, 64):
-                f = min(t + 64, e)
-                double = unit[t:f] @ unit[lo:hi].T
-                double[np.arange(f - t), np.arange(t, f) - lo] = -2
-                r, c = _first_best(double[:, by_rid], k)
-                parts.append((r + t - s, by_rid[c]))
-            row, col = (np.concatenate(x) for x in zip(*parts))
-        kept = own[s + row] & (product[row, col] > -1.5)
-        row, col = row[kept] + s, col[kept] + lo
+        bound, parts = np.full(e - s, -1.5, np.float32), []
+        for a in range(lo, hi, tile):
+            *found, bound = _hits(single, unit, rid, s, e, a, min(a + tile, hi), k, bound)
+            parts.append(found)
+        row, col, product = (np.concatenate(x) for x in zip(*parts))
+        kept = own[row] & (product > -1.5) & (product >= bound[row - s] - 2e-6)
+        row, col = row[kept], col[kept]
         exact = np.einsum("ij,ij->i", unit[row], unit[col])
         order = np.lexsort((rid[col], -exact, row))
         row, col, exact = row[order], col[order], exact[order]
@@ -198,6 +213,44 @@ def window_best(unit: np.ndarray, rid: np.ndarray, own: np.ndarray, window: int,
     return np.concatenate(left), np.concatenate(right), np.concatenate(value)
 
 
+class Slide:
+    """Rows of one cell in the order of their curve, of which about three windows are held at a time."""
+
+    def __init__(self, window: int, k: int):
+        self.window, self.k, self.step = window, k, max(window, 4096)
+        self.start()
+
+    def start(self) -> None:
+        self.rid, self.own, self.packed, self.rows, self.done = [], [], [], 0, 0
+
+    def add(self, rid: np.ndarray, own: np.ndarray, packed: np.ndarray) -> Iterator[pd.DataFrame]:
+        self.rid.append(rid)
+        self.own.append(own)
+        self.packed.append(packed)
+        self.rows += len(rid)
+        if self.rows - self.done >= self.step + self.window:
+            yield self._lists(self.rows - self.window)
+
+    def finish(self) -> Iterator[pd.DataFrame]:
+        if self.rows > self.done:
+            yield self._lists(self.rows)
+        self.start()
+
+    def _lists(self, upto: int) -> pd.DataFrame:
+        """The lists of the own rows from ``done`` to ``upto``; rows further back than a window are let go."""
+        rid, own, packed = np.concatenate(self.rid), np.concatenate(self.own), np.concatenate(self.packed)
+        unit = packed.astype(np.float64)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        now = own.copy()
+        now[: self.done], now[upto:] = False, False
+        q, other, cosine = window_best(unit, rid, now, self.window, self.k)
+        gone = max(0, upto - self.window)
+        self.rid, self.own, self.packed = [rid[gone:]], [own[gone:]], [packed[gone:]]
+        self.rows, self.done = self.rows - gone, upto - gone
+        first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, int)
+        return pd.DataFrame({"rid": q[first], "other": np.split(other, first[1:]) if len(q) else [], "away": np.split(-cosine, first[1:]) if len(q) else []})
+
+
 def crowded_centres(sample: np.ndarray, share: float, rows: int = 4096) -> np.ndarray:
     """Centres of the groups of near-copies that hold more than half of ``share`` of the sample."""
     x = _unit(sample[:rows].astype(np.float64))
@@ -357,19 +410,23 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
         F.element_at("keys", (F.floor(F.shiftright("code", 1) / ranges) + 1).cast("int")).alias("key"),
     )
 
-    def best(frame: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((frame["rid"].to_numpy(), frame["key"].to_numpy()))
-        rid, own = frame["rid"].to_numpy()[order], frame["own"].to_numpy()[order] == 1
-        packed = frame["packed"].to_numpy()[order]
-        unit = np.frombuffer(b"".join(packed), "<i2").reshape(len(packed), -1).astype(np.float64)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        q, other, cosine = window_best(unit, rid, own, window, k)
-        first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, int)
-        return pd.DataFrame({"rid": q[first], "other": np.split(other, first[1:]) if len(q) else [], "away": np.split(-cosine, first[1:]) if len(q) else []})
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slide, current = Slide(window, k), None
+        for frame in batches:
+            cell = frame["cell"].to_numpy()
+            bounds = np.r_[0, np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell)] if len(cell) else [0]
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                if cell[a] != current:
+                    yield from slide.finish()
+                    current = cell[a]
+                packed = np.frombuffer(b"".join(frame["packed"].to_numpy()[a:b]), "<i2").reshape(b - a, -1)
+                yield from slide.add(frame["rid"].to_numpy()[a:b], frame["own"].to_numpy()[a:b] == 1, packed)
+        yield from slide.finish()
 
     cells = curves * ranges
-    spread = placed.repartition(4 * cells, "cell")  # few cells share a partition
-    lists = spread.groupBy("cell").applyInPandas(best, "rid bigint, other array<bigint>, away array<double>")
+    # few cells share a partition; a task goes along its curve and holds some windows, never a whole cell
+    spread = placed.repartition(4 * cells, "cell").sortWithinPartitions("cell", "key", "rid")
+    lists = spread.select("cell", "own", "rid", "packed").mapInPandas(best, "rid bigint, other array<bigint>, away array<double>")
     merged = lists.groupBy("rid").agg(F.flatten(F.collect_list(F.arrays_zip("away", "other"))).alias("near"))
     merged = merged.select("rid", F.slice(F.array_sort(F.array_distinct("near")), 1, k).alias("near"))
     return _with_crowded(work.save(merged), *crowded, k) if crowded else merged

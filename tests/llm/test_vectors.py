@@ -31,6 +31,33 @@ def test_window_best_against_brute_force():
     assert not set(q) & set(rid[~own]) and value.max() <= 1 + 1e-9
 
 
+@pytest.mark.parametrize("window", [3, 40, 700])
+def test_windows_in_tiles_and_along_a_slide(window):
+    rng = np.random.default_rng(2)
+    x = neighbours._pack16(neighbours._unit(rng.normal(size=(900, 8))))
+    x[100:140] = x[100]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    rid, own = rng.permutation(900), np.arange(900) % 3 != 0
+    tiled, whole = (set(zip(*(a.tolist() for a in neighbours.window_best(unit, rid, own, window, 5, block=64, tile=t)[:2]))) for t in (37, 10_000))
+    assert tiled == whole
+    slide, found = neighbours.Slide(window, 5), []
+    slide.step = 50
+    for _ in range(2):  # a second cell begins anew
+        for part in np.array_split(np.arange(900), 23):
+            found += list(slide.add(rid[part], own[part], x[part]))
+            assert slide.rows <= 3 * window + 200
+        found += list(slide.finish())
+    q = [len(r) for f in found for r in f["other"]]
+    lists = {r: set(o.tolist()) for f in found for r, o in zip(f["rid"], f["other"])}
+    assert len(q) == 2 * own.sum()
+    at = {r: i for i, r in enumerate(rid.tolist())}
+    for i in np.flatnonzero(own):  # a block of rows sees a little beyond the window, so a list may be better
+        near = [j for j in range(max(0, i - window), min(900, i + window + 1)) if j != i]
+        want = sorted((unit[i] @ unit[j] for j in near), reverse=True)[:5]
+        got = sorted((unit[i] @ unit[at[r]] for r in lists[rid[i]]), reverse=True)
+        assert len(got) == len(set(lists[rid[i]])) >= len(want) and (np.array(got[: len(want)]) >= np.array(want) - 1e-12).all()
+
+
 def brute(x, ids, k=10):
     s = x @ x.T / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None]
     np.fill_diagonal(s, -2)
