@@ -229,14 +229,14 @@ class Slide:
         self.packed.append(packed)
         self.rows += len(rid)
         if self.rows - self.done >= self.step + self.window:
-            yield self._lists(self.rows - self.window)
+            yield from self._lists(self.rows - self.window)
 
     def finish(self) -> Iterator[pd.DataFrame]:
         if self.rows > self.done:
-            yield self._lists(self.rows)
+            yield from self._lists(self.rows)
         self.start()
 
-    def _lists(self, upto: int) -> pd.DataFrame:
+    def _lists(self, upto: int) -> Iterator[pd.DataFrame]:
         """The lists of the own rows from ``done`` to ``upto``; rows further back than a window are let go."""
         rid, own, packed = np.concatenate(self.rid), np.concatenate(self.own), np.concatenate(self.packed)
         unit = packed.astype(np.float64)
@@ -247,8 +247,9 @@ class Slide:
         gone = max(0, upto - self.window)
         self.rid, self.own, self.packed = [rid[gone:]], [own[gone:]], [packed[gone:]]
         self.rows, self.done = self.rows - gone, upto - gone
-        first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, int)
-        return pd.DataFrame({"rid": q[first], "other": np.split(other, first[1:]) if len(q) else [], "away": np.split(-cosine, first[1:]) if len(q) else []})
+        if len(q):
+            first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
+            yield pd.DataFrame({"rid": q[first], "other": np.split(other, first[1:]), "away": np.split(-cosine, first[1:])})
 
 
 def crowded_centres(sample: np.ndarray, share: float, rows: int = 4096) -> np.ndarray:
@@ -466,8 +467,8 @@ def similar_pairs(
 
 def _steps(vec: str) -> Column:
     """Coordinates as steps of 1/4096 of the largest one: equal for copies at any norm but those on the edge of a step."""
-    top = F.array_max(F.transform(vec, F.abs)).cast("double")
-    return F.transform(vec, lambda x: F.rint(x.cast("double") / top * 4096).cast("int"))
+    top = F.array(F.array_max(F.transform(vec, F.abs)).cast("double"))  # bound by a lambda, so taken once a row
+    return F.element_at(F.transform(top, lambda t: F.transform(vec, lambda x: F.rint(x.cast("double") / t * 4096).cast("int"))), 1)
 
 
 def _same_direction(points: DataFrame, copied: DataFrame, work: Workspace) -> DataFrame:

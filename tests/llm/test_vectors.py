@@ -47,6 +47,7 @@ def test_windows_in_tiles_and_along_a_slide(window):
             found += list(slide.add(rid[part], own[part], x[part]))
             assert slide.rows <= 3 * window + 200
         found += list(slide.finish())
+    assert all(len(f) for f in found) and list(slide.add(rid[:5], np.zeros(5, bool), x[:5])) == [] == list(slide.finish())
     q = [len(r) for f in found for r in f["other"]]
     lists = {r: set(o.tolist()) for f in found for r, o in zip(f["rid"], f["other"])}
     assert len(q) == 2 * own.sum()
