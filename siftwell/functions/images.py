@@ -256,7 +256,8 @@ def mean_vector(vectors: DataFrame, group: str, vec: str) -> DataFrame:
     means = at.groupBy(group, "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
     rows = means.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("s"))
     length = F.sqrt(F.aggregate("s", F.lit(0.0), lambda acc, e: acc + e["m"] * e["m"]))
-    return rows.select(group, F.when(length > 0, F.transform("s", lambda e: (e["m"] / length).cast("float"))).alias(vec))
+    scaled = F.transform(F.array(length), lambda n: F.when(n > 0, F.transform("s", lambda e: (e["m"] / n).cast("float"))))
+    return rows.select(group, F.element_at(scaled, 1).alias(vec))
 
 
 def image_hash(images: DataFrame, image: str = "image", key: str | None = None) -> DataFrame:

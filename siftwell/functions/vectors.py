@@ -32,8 +32,9 @@ def euclidean_distance(a: Column, b: Column) -> Column:
 
 def l2_normalize(a: Column) -> Column:
     """The vector divided by its length; NULL for a zero vector."""
-    n = norm(a)
-    return F.when(n > 0, F.transform(a, lambda x: (x / n).cast("float")))
+    # the length is bound by a lambda, so it is taken once a row and not once an element
+    scaled = F.transform(F.array(norm(a)), lambda n: F.when(n > 0, F.transform(a, lambda x: (x / n).cast("float"))))
+    return F.element_at(scaled, 1)
 
 
 def bytes_to_floats(data: Column) -> Column:
