@@ -96,7 +96,7 @@ def _strong_components(nodes: list, out: dict) -> list[list]:
     return found
 
 
-def order_values(edges: list[tuple[int, int, int]]) -> dict[int, int]:
+def order_values(edges: list[tuple]) -> dict:
     """value -> length of the longest chain of precedences (older, newer, votes) that leads to it.
 
     Cycles are broken first: within each strongly connected part the edges of the fewest votes go, until no
@@ -132,22 +132,25 @@ def order_values(edges: list[tuple[int, int, int]]) -> dict[int, int]:
     return level
 
 
-def currency_levels(precedence: DataFrame, work: Workspace) -> DataFrame:
+def currency_levels(precedence: DataFrame, work: Workspace, part_rows: int = 50_000) -> DataFrame:
     """(field, value, level): a value has a higher level than all that precede it, directly or through others.
 
-    Values that no chain of transitions connects are ordered apart, each connected part of a field's relation
-    in one task: it holds one row per pair of values, however many records showed it.
+    Connected parts of a field's relation stay together, about ``part_rows`` rows of them in a task: a row is
+    a pair of values, however many records showed it. A larger part is in one task too.
     """
     node = lambda c: F.struct("field", F.col(c).alias("value"))
-    held = work.save(precedence.select("field", "older", "newer", "votes"))
+    held = work.save(precedence.select("field", "older", "newer", "votes"), rows=F.count(F.lit(1)))
+    parts = max(1, -(-work.metric(held) // part_rows))
     roots = work.save(star_components(held.select(node("older").alias("u"), node("newer").alias("v")), work))
-    named = held.withColumn("x", node("older")).join(roots, "x").select("root", "field", "older", "newer", "votes")
+    named = held.withColumn("x", node("older")).join(roots, "x")
+    named = named.select(F.pmod(F.xxhash64("root"), F.lit(parts)).alias("part"), "field", "older", "newer", "votes").repartition(parts, "part")
 
     def rank(frame: pd.DataFrame) -> pd.DataFrame:
-        levels = order_values(list(zip(frame["older"].tolist(), frame["newer"].tolist(), frame["votes"].tolist())))
-        return pd.DataFrame({"field": frame["field"].iloc[0], "value": list(levels), "level": list(levels.values())})
+        field = frame["field"].tolist()
+        levels = order_values(list(zip(zip(field, frame["older"].tolist()), zip(field, frame["newer"].tolist()), frame["votes"].tolist())))
+        return pd.DataFrame({"field": [f for f, _ in levels], "value": [v for _, v in levels], "level": list(levels.values())})
 
-    return named.groupBy("root").applyInPandas(rank, "field string, value bigint, level bigint")
+    return named.groupBy("part").applyInPandas(rank, "field string, value bigint, level bigint")
 
 
 def latest_values(members: DataFrame, levels: DataFrame, group: str) -> DataFrame:
