@@ -1,4 +1,4 @@
-"""k nearest neighbours: exact on a grid of blocks, or by banded signs; and an index object over a table."""
+"""k nearest neighbours, exact on a grid of blocks, and an index object over a table."""
 
 from __future__ import annotations
 
