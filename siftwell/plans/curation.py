@@ -274,8 +274,12 @@ def _animation(kind: int, frames: int, moving: bool = True) -> bytes:
     return images.encode_gif([_picture(kind, k if moving else 0) for k in range(frames)], _PALETTE)
 
 
-def _point_gifs(triaged: DataFrame) -> DataFrame:
-    """(id, content): the animation of every point up for GIF triage, which the tables have not.
+#: Animations a task decodes: their ids are too few bytes for adaptive execution to give them more than a task or two.
+_GIFS_A_TASK = 128
+
+
+def _point_gifs(triaged: DataFrame, tasks: int) -> DataFrame:
+    """(id, content): the animation of every point up for GIF triage, which the tables have not, in ``tasks`` partitions.
 
     The first character of the id says what it is: broken (0 to 3), one picture six times (4 to 7), moving
     stripes (8 to b) or a moving bar (c to f).
@@ -286,14 +290,16 @@ def _point_gifs(triaged: DataFrame) -> DataFrame:
         made = [b"GIF89a", _animation(0, 6, moving=False), _animation(0, 6), _animation(2, 6)]
         return point.map(lambda p: made[int(p[0], 16) // 4])
 
-    return triaged.where("action = 'gif_triage'").select("id").distinct().select("id", content("id").alias("content"))
+    wanted = triaged.where("action = 'gif_triage'").select("id").repartition(tasks, "id").distinct()
+    return wanted.select("id", content("id").alias("content"))
 
 
 def _settled(spark: SparkSession, d: str) -> DataFrame:
     work = Workspace(spark, "triage")
     points = work.save(_triage_points(spark, d))
-    triaged = work.save(triage.triage_clusters(_members(spark, d), points))
-    gifs = work.save(images.embed_gifs(_point_gifs(triaged), "id"))
+    triaged = work.save(triage.triage_clusters(_members(spark, d), points), gifs=F.count_if(F.col("action") == "gif_triage"))
+    tasks = max(1, -(-work.metric(triaged, "gifs") // _GIFS_A_TASK))
+    gifs = work.save(images.embed_gifs(_point_gifs(triaged, tasks), "id"))
     return work.save(triage.settle_gifs(triaged, gifs, points))
 
 

@@ -1,4 +1,5 @@
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -109,6 +110,30 @@ def test_resize_keeps_means():
     assert images.to_input(x, 16).shape == (3, 16, 16) and images.to_input(np.full((8, 8, 3), 255), 4).max() == pytest.approx(1)
 
 
+@pytest.mark.parametrize("method", ["triangle", "lanczos"])
+@pytest.mark.parametrize("shape", [(9, 14), (9, 14, 1), (9, 14, 3), (1, 2, 4)])
+def test_resize_is_the_double_sum(method, shape):
+    x = np.random.default_rng(8).uniform(0, 255, shape)
+    rows, columns = images._weights(shape[0], 5, method), images._weights(shape[1], 20, method)
+    whole = np.array([[sum(rows[i, j] * columns[k, m] * x[j, m] for j in range(shape[0]) for m in range(shape[1])) for k in range(20)] for i in range(5)])
+    assert images.resize(x, 5, 20, method) == pytest.approx(whole)
+
+
+def test_hashing_and_embedding_cost_less_than_decoding():
+    data = images.encode_gif([grid(k, (32, 32)) for k in range(6)], COLOURS)
+
+    def least(work):
+        taken = []
+        for _ in range(5):
+            began = time.perf_counter()
+            work()
+            taken.append(time.perf_counter() - began)
+        return min(taken)
+
+    frames = images.decode_gif(data)
+    assert least(lambda: [images.gradient_hash(f) for f in frames] + [images.average_embedding(frames[:5])]) < 2 * least(lambda: images.decode_gif(data))
+
+
 def test_hashes_are_near_for_near_images():
     x = images.resize(np.random.default_rng(4).uniform(0, 255, (12, 12)), 64, 64)
     y = np.clip(x + np.random.default_rng(5).normal(0, 2, x.shape), 0, 255)
