@@ -2,11 +2,15 @@
 
 A record joins the first cluster all of whose members are similar to it. Joining needs an edge to every
 member, so clusters never reach over the connected components of the similarity graph: pairs are found
-first, and each component is folded on its own, with its edges only.
+first, and each component is folded on its own, with its edges only. Most components are a few records, so
+a group of many goes to Python at once.
 """
 
 from __future__ import annotations
 
+from itertools import groupby
+from operator import itemgetter
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +22,8 @@ from siftwell.runtime import Workspace
 
 #: Records a chunk of the chunked variant (fixed value).
 CHUNK_ROWS = 20_000
+#: Edges of the components that are handed over together, on average.
+_EDGES_A_GROUP = 20_000
 
 
 def _first_fit(keys: list, near: dict) -> list[list]:
@@ -45,15 +51,19 @@ def _merge(local: list[list], merged: list[list], near: dict) -> list[list]:
 
 
 def _fold(members: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """(key, first) of the members of any number of components, given with all their edges."""
     near: dict = {}
     for a, b in zip(edges["a"], edges["b"]):
         near.setdefault(a, set()).add(b)
         near.setdefault(b, set()).add(a)
-    members = members.sort_values(["at", "key"])
-    merged: list[list] = []
-    for _, chunk in members.groupby("chunk", sort=True):
-        merged = _merge(_first_fit(chunk["key"].tolist(), near), merged, near)
-    return pd.DataFrame([(k, c[0]) for c in merged for k in c], columns=["key", "first"])
+    members = members[members["chunk"].notna()].sort_values(["root", "at", "key"])
+    found = []
+    for _, component in groupby(zip(members["root"], members["chunk"], members["key"]), itemgetter(0)):
+        merged: list[list] = []
+        for _, chunk in groupby(component, itemgetter(1)):
+            merged = _merge(_first_fit([key for _, _, key in chunk], near), merged, near)
+        found += [(k, c[0]) for c in merged for k in c]
+    return pd.DataFrame(found, columns=["key", "first"])
 
 
 def pairs_in_groups(rows: DataFrame, group: str, key: str, vec: str, least: float) -> DataFrame:
@@ -81,10 +91,12 @@ def complete_link(
     chunk = F.floor(at / chunk_rows) if chunk_rows else F.lit(0)
     rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), at.alias("at"), chunk.cast("bigint").alias("chunk"))
     found = pairs_in_groups(vectors, group, key, vec, least) if group else similar_pairs(vectors, key, vec, least, strict=True)
-    edges = work.save(found.select("a", "b"))
+    edges = work.save(found.select("a", "b"), rows=F.count(F.lit(1)))
     roots = work.save(star_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), work))
     members = rows.join(roots.withColumnRenamed("x", "key"), "key")
     linked = edges.join(roots.select(F.col("x").alias("a"), F.col("root").alias("tree")), "a").select("a", "b", "tree")
     kind = vectors.schema[key].dataType.simpleString()
-    folded = members.groupBy("root").cogroup(linked.groupBy("tree")).applyInPandas(_fold, f"key {kind}, first {kind}")
+    groups = work.metric(edges) // _EDGES_A_GROUP + 1
+    of = lambda root: F.pmod(F.xxhash64(root), F.lit(groups)).alias("part")
+    folded = members.groupBy(of("root")).cogroup(linked.groupBy(of("tree"))).applyInPandas(_fold, f"key {kind}, first {kind}")
     return rows.join(folded, "key", "left").select(F.col("key").alias(key), F.coalesce("first", "key").alias("cluster_id"))

@@ -1,6 +1,8 @@
 import itertools
+import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +122,34 @@ def test_complete_link(spark, cloud):
     assert {r["id"]: r["cluster_id"] for r in got} == chunked
 
 
+@pytest.mark.parametrize("chunk_rows", [None, 40])
+def test_complete_link_in_groups_of_any_size(spark, cloud, monkeypatch, chunk_rows):
+    whole = {r["id"]: r["cluster_id"] for r in complete_link.complete_link(vectors(spark, cloud), "id", "vec", 0.75, chunk_rows=chunk_rows).collect()}
+    monkeypatch.setattr(complete_link, "_EDGES_A_GROUP", 3)
+    assert {r["id"]: r["cluster_id"] for r in complete_link.complete_link(vectors(spark, cloud), "id", "vec", 0.75, chunk_rows=chunk_rows).collect()} == whole
+
+
+def test_fold_takes_many_components_at_a_linear_cost():
+    def fold(n):
+        """n components a - b - c without the pair a, c: c is left over."""
+        at = np.arange(3 * n)
+        members = pd.DataFrame({"root": at // 3 * 3, "at": at, "chunk": 0, "key": at}).sample(frac=1, random_state=1)
+        edges = pd.DataFrame({"a": np.r_[at[0::3], at[1::3]], "b": np.r_[at[1::3], at[2::3]]})
+        began = time.perf_counter()
+        got = complete_link._fold(members, edges)
+        taken = time.perf_counter() - began
+        assert dict(zip(got["key"], got["first"])) == {k: k if k % 3 == 2 else k // 3 * 3 for k in range(3 * n)}
+        return taken
+
+    assert min(fold(4000) for _ in range(3)) < 40 * min(fold(250) for _ in range(3))
+
+
+def test_fold_leaves_records_of_no_chunk_alone():
+    members = pd.DataFrame({"root": [1, 1, 5, 5], "at": [1.0, 2.0, 5.0, None], "chunk": [0.0, 0.0, 0.0, None], "key": [1, 2, 5, 6]})
+    got = complete_link._fold(members, pd.DataFrame({"a": [1, 5], "b": [2, 6]}))
+    assert dict(zip(got["key"], got["first"])) == {1: 1, 2: 1, 5: 5}
+
+
 @pytest.mark.parametrize("metric", ["cosine", "euclidean"])
 def test_knn(spark, cloud, metric):
     x = cloud.astype(np.float32).astype(float)
