@@ -49,17 +49,20 @@ def test_optics_takes_every_neighbour(spark, tiny):
     assert points == {r["neighbor_id"] for r in QUERIES["knn_neighbour_set"](spark, tiny).collect()}
 
 
-def test_animations_are_spread_over_tasks(spark, monkeypatch, tiny):
+def test_animations_are_spread_over_tasks(spark):
     """Their ids are few bytes, the work is not: so many rows make a task."""
     rows = spark.range(90).selectExpr("1L as cluster_id", "lpad(hex(id * 2), 2, '0') as id", "'gif_triage' as action")
     gifs = curation._point_gifs(rows.union(rows), 3)
     assert gifs.rdd.getNumPartitions() == 3 and gifs.count() == 90
 
+
+@pytest.mark.parametrize("name", ["settled_gifs", "points_after_transfer"])
+def test_queries_spread_their_animations(spark, monkeypatch, tiny, name):
     seen = []
     made = curation._point_gifs
     monkeypatch.setattr(curation, "_GIFS_A_TASK", 2)
     monkeypatch.setattr(curation, "_point_gifs", lambda triaged, tasks: seen.append((triaged.where("action = 'gif_triage'").count(), tasks)) or made(triaged, tasks))
-    curation.settled_gifs(spark, tiny)
+    QUERIES[name](spark, tiny)
     assert seen[0][0] > 2 and seen[0][1] == -(-seen[0][0] // 2)
 
 
