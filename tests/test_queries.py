@@ -56,7 +56,7 @@ def test_animations_are_spread_over_tasks(spark):
     assert gifs.rdd.getNumPartitions() == 3 and gifs.count() == 90
 
 
-@pytest.mark.parametrize("name", ["settled_gifs", "points_after_transfer"])
+@pytest.mark.parametrize("name", ["settled_gifs", "points_after_transfer", "tag_transfer"])
 def test_queries_spread_their_animations(spark, monkeypatch, tiny, name):
     seen = []
     made = curation._point_gifs
