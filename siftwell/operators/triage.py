@@ -109,7 +109,8 @@ def apply_transfer(points: DataFrame, plan: DataFrame) -> DataFrame:
 
     A point that some cluster keeps is not deleted by another; several upserts of a point are united.
     """
-    ups = plan.where("op = 'upsert'").select("id", F.explode_outer("categories").alias("tag")).groupBy("id").agg(F.array_sort(F.collect_set("tag")).alias("new_categories"))
-    gone = plan.where("op = 'delete'").select("id").distinct().join(ups.select("id"), "id", "left_anti")
-    left = points.join(gone, "id", "left_anti").join(ups, "id", "left")
-    return left.withColumn("categories", F.coalesce("new_categories", "categories")).drop("new_categories")
+    upsert = F.col("op") == "upsert"
+    rows = plan.where("op in ('upsert', 'delete')").select("id", upsert.alias("kept"), F.explode_outer(F.when(upsert, F.col("categories"))).alias("tag"))
+    fates = rows.groupBy("id").agg(F.max("kept").alias("kept"), F.array_sort(F.collect_set("tag")).alias("new_categories"))
+    left = points.join(fates, "id", "left").where(F.coalesce("kept", F.lit(True)))
+    return left.withColumn("categories", F.when(F.col("kept"), F.col("new_categories")).otherwise(F.col("categories"))).drop("kept", "new_categories")

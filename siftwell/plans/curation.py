@@ -172,7 +172,8 @@ def _latest_files(spark: SparkSession, d: str) -> DataFrame:
     """(point_id, path, content_length): the newest present row of each file stem."""
     rows = read_table(spark, d, "object_listing").where("mode = 'FILE' and not coalesce(is_deleted, false) and path is not null")
     rows = rows.select(paths.plain_path("path").alias("path"), "taken_at", "content_length")
-    stem = rows.select(paths.file_stem(F.col("path")).alias("point_id"), "path", "taken_at", "content_length")
+    # a stem is never NULL here; said so, a join on it does not filter on it below, which would work out path and stem twice
+    stem = rows.select(F.coalesce(paths.file_stem(F.col("path")), F.lit("")).alias("point_id"), "path", "taken_at", "content_length")
     return stem.groupBy("point_id").agg(F.max(F.struct("taken_at", "path", "content_length")).alias("r")).select("point_id", "r.path", "r.content_length")
 
 
@@ -296,11 +297,10 @@ def _point_gifs(triaged: DataFrame, tasks: int) -> DataFrame:
 
 def _settled(spark: SparkSession, d: str) -> DataFrame:
     work = Workspace(spark, "triage")
-    points = work.save(_triage_points(spark, d))
-    triaged = work.save(triage.triage_clusters(_members(spark, d), points), gifs=F.count_if(F.col("action") == "gif_triage"))
+    triaged = work.save(triage.triage_clusters(_members(spark, d), _triage_points(spark, d)), gifs=F.count_if(F.col("action") == "gif_triage"))
     tasks = max(1, -(-work.metric(triaged, "gifs") // _GIFS_A_TASK))
     gifs = work.save(images.embed_gifs(_point_gifs(triaged, tasks), "id"))
-    return work.save(triage.settle_gifs(triaged, gifs, points))
+    return work.save(triage.settle_gifs(triaged, gifs, current_points(spark, d)))
 
 
 def settled_gifs(spark: SparkSession, d: str) -> DataFrame:

@@ -96,6 +96,25 @@ def test_lzw_grows_its_codes():
     assert codes == []
 
 
+def test_codes_of_one_width_are_read_at_once():
+    """As many pixels as the table takes before its codes widen, then a clear code; one more pixel, or a longer code, is for the loop."""
+
+    def stream(codes, width):
+        return np.packbits([c >> k & 1 for c in codes for k in range(width)], bitorder="little").tobytes()
+
+    for bits in range(2, 9):
+        clear = 1 << bits
+        pixels = np.random.default_rng(bits).integers(0, clear, 5 * (clear - 2)).tolist()
+        runs = [pixels[k : k + clear - 2] for k in range(0, len(pixels), clear - 2)]
+        data = stream([c for run in runs for c in [clear, *run]] + [clear + 1], bits + 1)
+        assert images._plain_pixels(data, bits).tolist() == images._unpack_lzw(data, bits, len(pixels)).tolist() == pixels
+        assert images._unpack_lzw(data, bits, 7).tolist() == pixels[:7]
+        assert images._plain_pixels(stream([clear, *pixels[: clear - 1]], bits + 1), bits) is None
+        assert images._plain_pixels(stream([clear, 1, clear + 2, clear + 1], bits + 1), bits) is None
+    repeated = stream([4, 1, 6, 5], 3)
+    assert images._unpack_lzw(repeated, 2, 9).tolist() == [1, 1, 1]
+
+
 @pytest.mark.parametrize("data", [b"", b"GIF89a", b"no gif at all", gif([grid()])[:60]])
 def test_broken_gifs(data):
     with pytest.raises(ValueError):

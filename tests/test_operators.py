@@ -306,6 +306,16 @@ def test_gifs_and_transfer(spark):
     assert wide["kept_gif"] == ["b", "c"] and wide["kept_text"] is None
 
 
+def test_transfer_takes_one_table_of_fates(spark):
+    """The plan is read once: each further reading would work out the whole settled table's tags again."""
+    plan = spark.createDataFrame([(1, "a", "upsert", ["x"]), (2, "a", "upsert", ["b", "x"]), (3, "a", "delete", None), (1, "d", "delete", None), (2, "e", "upsert", []), (1, "gone", "delete", None)], "cluster_id bigint, id string, op string, categories array<string>")
+    points = spark.createDataFrame([("a", ["old"]), ("d", ["y"]), ("e", ["z"]), ("f", None), (None, ["n"])], "id string, categories array<string>")
+    after = triage.apply_transfer(points, plan)
+    assert {r["id"]: r["categories"] for r in after.collect()} == {"a": ["b", "x"], "e": [], "f": None, None: ["n"]}
+    text = after._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join") == 1
+
+
 def test_extension_checks(spark):
     jpeg, png = b"\xff\xd8\xff\xe0", b"\x89PNG\r\n\x1a\n"
     files = spark.createDataFrame([("d/a.JPG", jpeg), ("noext", png), ("x.png", png), ("y.png", b"??"), ("z.png", None)], "path string, content binary")
