@@ -19,9 +19,8 @@ def _representatives(rows: DataFrame, least: float, vec: str) -> DataFrame:
     """(cluster_id, id) of the largest member of each complete-link part of every cluster."""
     keyed = rows.withColumn("member", F.struct("cluster_id", "id"))
     usable = keyed.where(F.col(vec).isNotNull() & (norm(F.col(vec)) > 0))
-    work = Workspace(rows.sparkSession, "triage")
     linked = usable.select(F.concat_ws("/", F.col("cluster_id").cast("string"), "id").alias("k"), "cluster_id", vec)
-    parts = work.save(complete_link(linked, "k", vec, least, group="cluster_id").withColumnRenamed("cluster_id", "part"))
+    parts = complete_link(linked, "k", vec, least, group="cluster_id").withColumnRenamed("cluster_id", "part")
     named = rows.withColumn("k", F.concat_ws("/", F.col("cluster_id").cast("string"), "id")).join(parts, "k", "left")
     named = named.withColumn("part", F.coalesce("part", "k"))
     return named.groupBy("cluster_id", "part").agg(pick_largest(F.col("size"), F.col("id")).alias("id")).select("cluster_id", "id")

@@ -129,6 +129,38 @@ def test_complete_link_in_groups_of_any_size(spark, cloud, monkeypatch, chunk_ro
     assert {r["id"]: r["cluster_id"] for r in complete_link.complete_link(vectors(spark, cloud), "id", "vec", 0.75, chunk_rows=chunk_rows).collect()} == whole
 
 
+@pytest.mark.parametrize("rows", [1, 2_000])
+def test_complete_link_of_given_groups(spark, cloud, monkeypatch, rows):
+    """Groups of bounded size in one pass and larger ones by components give what the definition says."""
+    monkeypatch.setattr(complete_link, "_GROUP_ROWS", rows)
+    monkeypatch.setattr(complete_link, "_ROWS_A_PART", 20)
+    monkeypatch.setattr(complete_link, "_PAIRS_AT_ONCE", 50)
+    seen = []
+    parts = complete_link._link_by_components
+    monkeypatch.setattr(complete_link, "_link_by_components", lambda *a: seen.append(1) or parts(*a))
+    table = vectors(spark, cloud).withColumn("g", F.when(F.col("id") % 10 > 0, F.col("id") % 3))
+    got = {r["id"]: r["cluster_id"] for r in complete_link.complete_link(table, "id", "vec", 0.75, group="g").collect()}
+    x = np.asarray(cloud, float)
+    want = {}
+    for g in range(3):
+        found = []
+        for i in (i for i in range(len(x)) if i % 3 == g and i % 10):
+            alike = lambda j: x[i] @ x[j] > 0.75 * np.linalg.norm(x[i]) * np.linalg.norm(x[j])  # noqa: B023, E731
+            home = next((c for c in found if all(map(alike, c))), None)
+            found.append(home := []) if home is None else None
+            home.append(i)
+            want[i] = home[0]
+    assert got == {i: want.get(i, i) for i in range(len(x))}
+    assert len(seen) == (rows == 1)
+
+
+def test_vectors_of_a_group_have_one_length(spark):
+    rows = spark.createDataFrame([(1, 1, [1.0, 0.0]), (2, 1, [2.0, 0.0]), (3, 2, [1.0]), (4, 2, [-1.0]), (5, 2, None), (6, 2, [0.0])], "id bigint, g bigint, vec array<float>")
+    assert {tuple(r) for r in complete_link.complete_link(rows, "id", "vec", 0.5, group="g").collect()} == {(1, 1), (2, 1), (3, 3), (4, 4), (5, 5), (6, 6)}
+    with pytest.raises(Exception, match="unequal length"):
+        complete_link.complete_link(rows.withColumn("g", F.lit(1)), "id", "vec", 0.5, group="g").collect()
+
+
 def test_fold_takes_many_components_at_a_linear_cost():
     def fold(n):
         """n components a - b - c without the pair a, c: c is left over."""
