@@ -19,11 +19,12 @@ group's size.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from siftwell.runtime import Workspace
 
 _LEVELS = 127 * 258  # steps of the 16-bit coordinates that travel through the shuffle
 _SAME = 1e-13  # cosines that differ by less are equal
+_ENTRY = np.dtype([("away", "<f8"), ("other", "<i8")])  # of a list: minus the cosine, and the neighbour
 _GROUP = 0.9  # least cosine of a near-copy to the centre of its group
 
 
@@ -139,6 +141,19 @@ def _pack16(unit: np.ndarray) -> np.ndarray:
     return np.rint(unit / np.abs(unit).max(axis=1, keepdims=True) * _LEVELS).astype("<i2")
 
 
+def _binary(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Binary column of the items ``starts[i]..starts[i + 1]`` of contiguous data."""
+    offsets = (starts * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data.view(np.uint8).reshape(-1))])
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, bytes) of a binary column without NULL."""
+    offset = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    starts = np.frombuffer(column.buffers()[1], offset)[column.offset : column.offset + len(column) + 1]
+    return starts - starts[0], np.frombuffer(column.buffers()[2] or b"", np.uint8)[starts[0] : starts[-1]]
+
+
 def _first_best(value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the k largest of each row; equal values, to 13 decimals, go by the earlier column."""
     k = min(k, value.shape[1])
@@ -150,20 +165,30 @@ def _first_best(value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _hits(single: np.ndarray, unit: np.ndarray, rid: np.ndarray, s: int, e: int, lo: int, hi: int, k: int, bound: np.ndarray):
     """(row, column, product) of the entries of rows s..e against lo..hi that may be among the k best, and the raised bound."""
-    groups = 4 * k
     product = single[s:e] @ single[lo:hi].T
     at = np.arange(max(s, lo), min(e, hi))
     product[at - s, at - lo] = -2
-    width = (hi - lo) // groups
-    if width >= 2:
-        best = product[:, : width * groups].reshape(e - s, groups, width).max(axis=2)
-        bound = np.maximum(bound, np.partition(best, groups - k, axis=1)[:, groups - k])
-    elif hi - lo > k:
-        bound = np.maximum(bound, np.partition(product, hi - lo - k, axis=1)[:, hi - lo - k])
-    hit = product >= (bound - 2e-6)[:, None]
-    if np.count_nonzero(hit) <= 64 * k * (e - s):
-        row, col = np.nonzero(hit)
-    else:  # near-copies that single precision does not tell apart
+    width, few, row = min(16, (hi - lo) // (4 * k)), 64 * k * (e - s), None
+    if width >= 2:  # every groups-th column is of one group; only groups that reach the bound are looked into
+        groups = (hi - lo) // width
+        grid = product[:, : width * groups].reshape(e - s, width, groups)
+        most = grid.max(axis=1)
+        bound = np.maximum(bound, np.partition(most, groups - k, axis=1)[:, groups - k])
+        least = bound - 2e-6
+        at, group = np.divmod(np.flatnonzero(most >= least[:, None]), groups)
+        if len(at) <= few:
+            inside, rest = grid[at, :, group] >= least[at, None], product[:, width * groups :] >= least[:, None]
+            if np.count_nonzero(inside) + np.count_nonzero(rest) <= few:
+                hot, place = np.divmod(np.flatnonzero(inside), width)
+                rest_row, rest_col = np.nonzero(rest)
+                row, col = np.r_[at[hot], rest_row], np.r_[place * groups + group[hot], rest_col + width * groups]
+    else:
+        if hi - lo > k:
+            bound = np.maximum(bound, np.partition(product, hi - lo - k, axis=1)[:, hi - lo - k])
+        hit = product >= (bound - 2e-6)[:, None]
+        if np.count_nonzero(hit) <= few:
+            row, col = np.divmod(np.flatnonzero(hit), hi - lo)
+    if row is None:  # near-copies that single precision does not tell apart
         by_rid, parts = np.argsort(rid[lo:hi]), []
         for t in range(s, e, 64):
             f = min(t + 64, e)
@@ -213,17 +238,29 @@ def window_best(
     return np.concatenate(left), np.concatenate(right), np.concatenate(value)
 
 
+def list_frame(rid: np.ndarray, starts: np.ndarray, other: np.ndarray, away: np.ndarray) -> pd.DataFrame:
+    """Lists ``starts[i]..starts[i + 1]`` of the entries, one a row."""
+    return pd.DataFrame({"rid": rid, "other": np.split(other, starts[1:-1]), "away": np.split(away, starts[1:-1])})
+
+
+def list_batch(rid: np.ndarray, starts: np.ndarray, other: np.ndarray, away: np.ndarray) -> pa.RecordBatch:
+    """(rid, entries): the lists of ``list_frame`` as bytes of ``_ENTRY``."""
+    entries = np.empty(len(other), _ENTRY)
+    entries["away"], entries["other"] = away, other
+    return pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), _binary(entries, starts)], ["rid", "entries"])
+
+
 class Slide:
     """Rows of one cell in the order of their curve, of which about three windows are held at a time."""
 
-    def __init__(self, window: int, k: int):
-        self.window, self.k, self.step = window, k, max(window, 4096)
+    def __init__(self, window: int, k: int, made: Callable = list_frame):
+        self.window, self.k, self.step, self.made = window, k, max(window, 4096), made
         self.start()
 
     def start(self) -> None:
         self.rid, self.own, self.packed, self.rows, self.done = [], [], [], 0, 0
 
-    def add(self, rid: np.ndarray, own: np.ndarray, packed: np.ndarray) -> Iterator[pd.DataFrame]:
+    def add(self, rid: np.ndarray, own: np.ndarray, packed: np.ndarray) -> Iterator:
         self.rid.append(rid)
         self.own.append(own)
         self.packed.append(packed)
@@ -231,12 +268,12 @@ class Slide:
         if self.rows - self.done >= self.step + self.window:
             yield from self._lists(self.rows - self.window)
 
-    def finish(self) -> Iterator[pd.DataFrame]:
+    def finish(self) -> Iterator:
         if self.rows > self.done:
             yield from self._lists(self.rows)
         self.start()
 
-    def _lists(self, upto: int) -> Iterator[pd.DataFrame]:
+    def _lists(self, upto: int) -> Iterator:
         """The lists of the own rows from ``done`` to ``upto``; rows further back than a window are let go."""
         rid, own, packed = np.concatenate(self.rid), np.concatenate(self.own), np.concatenate(self.packed)
         unit = packed.astype(np.float64)
@@ -249,7 +286,42 @@ class Slide:
         self.rows, self.done = self.rows - gone, upto - gone
         if len(q):
             first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-            yield pd.DataFrame({"rid": q[first], "other": np.split(other, first[1:]), "away": np.split(-cosine, first[1:])})
+            yield self.made(q[first], np.r_[first, len(q)], other, -cosine)
+
+
+def merged_lists(rid: np.ndarray, counts: np.ndarray, entries: np.ndarray, k: int) -> pa.RecordBatch:
+    """(rid, near): the k best distinct entries of each rid; rid ascends, each row of it has ``counts`` entries."""
+    first = np.r_[True, rid[1:] != rid[:-1]]
+    owner = np.repeat(np.cumsum(first) - 1, counts)
+    order = np.lexsort((entries["other"], entries["away"], owner))
+    owner, entries = owner[order], entries[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (entries["other"][1:] != entries["other"][:-1]) | (entries["away"][1:] != entries["away"][:-1])
+    owner, entries = owner[new], entries[new]
+    top = np.arange(len(owner)) - np.searchsorted(owner, owner) < k
+    owner, entries = owner[top], entries[top]
+    near = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(entries[c])) for c in ("away", "other")], ["away", "other"])
+    starts = np.searchsorted(owner, np.arange(np.count_nonzero(first) + 1)).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(rid[first], pa.int64()), pa.ListArray.from_arrays(pa.array(starts), near)], ["rid", "near"])
+
+
+def merge_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """merged_lists of (rid, entries) in the order of rid; the rows of one rid may lie in several batches."""
+    rid, counts, entries = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _ENTRY)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts, data = _bytes_of(batch["entries"])
+        rid = np.r_[rid, batch["rid"].to_numpy()]
+        counts = np.r_[counts, np.diff(starts) // _ENTRY.itemsize]
+        entries = np.concatenate([entries, data.view(_ENTRY)])
+        whole = np.searchsorted(rid, rid[-1])  # the last rid may go on
+        if whole:
+            cut = counts[:whole].sum()
+            yield merged_lists(rid[:whole], counts[:whole], entries[:cut], k)
+            rid, counts, entries = rid[whole:], counts[whole:], entries[cut:]
+    if len(rid):
+        yield merged_lists(rid, counts, entries, k)
 
 
 def crowded_centres(sample: np.ndarray, share: float, rows: int = 4096) -> np.ndarray:
@@ -352,18 +424,17 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
     model = spark.sparkContext.broadcast(fit_curves(np.stack(sample.to_numpy()), curves=curves))
     names = [f"k{c}" for c in range(curves)]
 
-    def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            if len(frame):
-                unit = _unit(np.stack(frame["vec"].to_numpy()).astype(np.float64))
-                keys = model.value.keys(unit, frame["rid"].to_numpy())
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                unit = _unit(batch["vec"].flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float64))
                 packed = _pack16(unit)
-                cells = {"packed": [r.tobytes() for r in packed]}
-            else:
-                keys, cells = np.zeros((0, curves), np.int64), {"packed": []}
-            yield pd.DataFrame({"rid": frame["rid"], **cells, **{c: keys[:, i] for i, c in enumerate(names)}})
+                keys = model.value.keys(unit, batch["rid"].to_numpy())
+                cells = _binary(packed.reshape(-1), np.arange(batch.num_rows + 1) * packed.shape[1])
+                columns = [batch["rid"], cells, *(pa.array(np.ascontiguousarray(keys[:, c])) for c in range(curves))]
+                yield pa.RecordBatch.from_arrays(columns, ["rid", "packed", *names])
 
-    keyed = work.save(vectors.select("rid", "vec").mapInPandas(key, "rid bigint, packed binary, " + ", ".join(f"{c} bigint" for c in names)))
+    keyed = work.save(vectors.select("rid", "vec").mapInArrow(key, "rid bigint, packed binary, " + ", ".join(f"{c} bigint" for c in names)))
 
     window = math.ceil(window_factor * n ** (2 / 3))
     centres = crowded_centres(np.stack(sample.to_numpy()), window / n) if n > window else np.zeros((0, 0))
@@ -381,12 +452,12 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
     else:
         bounds = {c: np.zeros((3, 0), np.int64) for c in names}
 
-    @F.pandas_udf("array<int>")
-    def places(*keys: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<int>")
+    def places(*keys: pa.Array) -> pa.Array:
         """Codes of the ranges a row goes to: (curve * ranges + range) * 2, plus 1 where it is the row's own."""
         rows, codes = [], []
         for c, series in enumerate(keys):
-            value, (cut, before, after) = series.to_numpy(), bounds[names[c]]
+            value, (cut, before, after) = series.to_numpy(zero_copy_only=False), bounds[names[c]]
             home = np.searchsorted(cut, value, side="right")
             base = np.arange(len(value))
             rows.append(base)
@@ -402,8 +473,8 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
                 codes.append((c * ranges + target[extra]) * 2)
         row, code = np.concatenate(rows), np.concatenate(codes)
         order = np.argsort(row, kind="stable")
-        splits = np.cumsum(np.bincount(row, minlength=len(keys[0])))[:-1]
-        return pd.Series(np.split(code[order], splits) if len(keys[0]) else [])
+        starts = np.r_[0, np.cumsum(np.bincount(row, minlength=len(keys[0])))]
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(code[order], pa.int32()))
 
     placed = keyed.select("rid", "packed", F.array(*names).alias("keys"), F.explode(places(*names)).alias("code"))
     placed = placed.select(
@@ -411,25 +482,26 @@ def curve_lists(vectors: DataFrame, work: Workspace, k: int, window_factor: floa
         F.element_at("keys", (F.floor(F.shiftright("code", 1) / ranges) + 1).cast("int")).alias("key"),
     )
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slide, current = Slide(window, k), None
-        for frame in batches:
-            cell = frame["cell"].to_numpy()
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slide, current = Slide(window, k, list_batch), None
+        for batch in batches:
+            cell, rid, own = (batch[c].to_numpy() for c in ("cell", "rid", "own"))
             bounds = np.r_[0, np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell)] if len(cell) else [0]
+            packed = _bytes_of(batch["packed"])[1].view("<i2").reshape(len(cell), -1) if len(cell) else None
             for a, b in zip(bounds[:-1], bounds[1:]):
                 if cell[a] != current:
                     yield from slide.finish()
                     current = cell[a]
-                packed = np.frombuffer(b"".join(frame["packed"].to_numpy()[a:b]), "<i2").reshape(b - a, -1)
-                yield from slide.add(frame["rid"].to_numpy()[a:b], frame["own"].to_numpy()[a:b] == 1, packed)
+                yield from slide.add(rid[a:b], own[a:b] == 1, packed[a:b])
         yield from slide.finish()
 
     cells = curves * ranges
     # few cells share a partition; a task goes along its curve and holds some windows, never a whole cell
     spread = placed.repartition(4 * cells, "cell").sortWithinPartitions("cell", "key", "rid")
-    lists = spread.select("cell", "own", "rid", "packed").mapInPandas(best, "rid bigint, other array<bigint>, away array<double>")
-    merged = lists.groupBy("rid").agg(F.flatten(F.collect_list(F.arrays_zip("away", "other"))).alias("near"))
-    merged = merged.select("rid", F.slice(F.array_sort(F.array_distinct("near")), 1, k).alias("near"))
+    lists = spread.select("cell", "own", "rid", "packed").mapInArrow(best, "rid bigint, entries binary")
+    # a rid has a list a curve, so they are put in order and merged as they come
+    ordered = lists.repartition("rid").sortWithinPartitions("rid")
+    merged = ordered.mapInArrow(lambda batches: merge_batches(batches, k), schema)
     return _with_crowded(work.save(merged), *crowded, k) if crowded else merged
 
 

@@ -59,6 +59,35 @@ def test_windows_in_tiles_and_along_a_slide(window):
         assert len(got) == len(set(lists[rid[i]])) >= len(want) and (np.array(got[: len(want)]) >= np.array(want) - 1e-12).all()
 
 
+@pytest.mark.parametrize("size", [1, 7, 10_000])
+def test_lists_of_all_curves_merge_in_order(size):
+    rng = np.random.default_rng(6)
+    rid = np.sort(rng.integers(0, 50, 200) * 3)
+    lists = [sorted({(-float(rng.integers(0, 9)) / 8, int(m)) for m in rng.integers(0, 20, rng.integers(0, 9))}) for _ in rid]
+    starts = np.r_[0, np.cumsum([len(x) for x in lists])]
+    away, other = (np.array([e[c] for x in lists for e in x]) for c in (0, 1))
+    batch = neighbours.list_batch(rid, starts, other, away)
+    assert batch["rid"].to_pylist() == rid.tolist()
+    parts = [batch.slice(s, size) for s in range(0, 200, size)]  # slices keep their offset into the buffers
+    got = [r for b in neighbours.merge_batches(iter(parts), 5) for r in b.to_pylist()]
+    want = {r: sorted({e for q, x in zip(rid, lists) if q == r for e in x})[:5] for r in rid.tolist()}
+    assert [r["rid"] for r in got] == sorted(want)
+    assert {r["rid"]: [(e["away"], e["other"]) for e in r["near"]] for r in got} == want
+    assert list(neighbours.merge_batches(iter([]), 5)) == []
+
+
+def test_lists_stay_packed_until_they_are_merged(spark):
+    """One row object a list entry on the way to the merge was the larger part of the work around the products."""
+    from siftwell.runtime import Workspace
+
+    with Workspace(spark, "plan") as work:
+        x = np.random.default_rng(8).normal(size=(300, 8)).astype(np.float32)
+        df = work.save(spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "rid bigint, vec array<float>"))
+        plan = neighbours.curve_lists(df, work, 10, 1.25, 1000, 6)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan
+    assert not any(x in plan for x in ("MapInPandas", "collect_list", "array_sort", "array_distinct"))
+
+
 def brute(x, ids, k=10):
     s = x @ x.T / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None]
     np.fill_diagonal(s, -2)
